@@ -1,0 +1 @@
+"""The audit has no unbounded source, so there is no streaming operator."""
