@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from linkloom.llm import bpe
-from linkloom.llm.common import table
+from linkloom.llm import bpe, langid, toxicity
+from linkloom.llm.common import fold_of, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,6 +18,25 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_bpe": op1_bpe}
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fold = fold_of(F.col("doc_id"))
+    model = langid.fit(docs.where(fold != 2))
+    return langid.predict(docs.select("doc_id", (fold == 2).alias("held_out"), "text"), model, ("doc_id", "held_out"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(fold_of(F.col("doc_id")) != 2))
+    out = toxicity.score(docs, model)
+    return out.select("doc_id", (fold_of(F.col("doc_id")) == 2).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op4_langid": op4_langid,
+    "op10_toxicity": op10_toxicity,
+}
 
 ORACLE: dict[str, str] = {}
