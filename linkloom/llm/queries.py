@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import bpe, langid, neardup, toxicity
+from linkloom.llm import bpe, decontam, langid, neardup, toxicity
 from linkloom.llm.common import fold_of, table
 
 
@@ -25,6 +25,10 @@ def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", (fold == 2).alias("held_out"), "text"), model, ("doc_id", "held_out"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
@@ -40,6 +44,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_langid": op4_langid,
+    "op5_decontamination": op5_decontamination,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
