@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import bpe, chat, decontam, langid, neardup, toxicity
+from linkloom.llm import ann, bpe, chat, decontam, langid, neardup, toxicity
 from linkloom.llm.common import fold_of, table
 
 
@@ -36,6 +36,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_langid": op4_langid,
     "op5_decontamination": op5_decontamination,
+    "op7_ann": op7_ann,
     "op8_jaccard_join": op8_jaccard_join,
     "op10_toxicity": op10_toxicity,
 }
