@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import ann, bpe, chat, decontam, langid, neardup, toxicity
+from linkloom.llm import ann, bpe, chat, decontam, html, langid, neardup, toxicity
 from linkloom.llm.common import fold_of, table
 
 
@@ -44,6 +44,10 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies")
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels")
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op7_ann": op7_ann,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_html": op9_html,
     "op10_toxicity": op10_toxicity,
 }
 
