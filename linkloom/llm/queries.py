@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import ann, bpe, chat, decontam, html, langid, neardup, toxicity
+from linkloom.llm import ann, bpe, chat, decontam, html, langid, neardup, pii, toxicity
 from linkloom.llm.common import fold_of, table
 
 
@@ -36,6 +36,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find(docs, pii.fit(docs)))
+
+
 def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_chat": op3_chat,
     "op4_langid": op4_langid,
     "op5_decontamination": op5_decontamination,
+    "op6_pii": op6_pii,
     "op7_ann": op7_ann,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_html": op9_html,
