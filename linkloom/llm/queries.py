@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linkloom.llm import ann, bpe, chat, decontam, html, langid, neardup, pii, toxicity
+from linkloom.llm import ann, bpe, chat, decontam, html, langid, lm, neardup, pii, toxicity
 from linkloom.llm.common import fold_of, table
 
 
@@ -18,6 +18,12 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    words = lm.vocabulary(docs)
+    return lm.score(docs, words, lm.train(docs, words))
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
@@ -63,6 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_lm": op2_lm,
     "op3_chat": op3_chat,
     "op4_langid": op4_langid,
     "op5_decontamination": op5_decontamination,
