@@ -184,16 +184,17 @@ def fit(df: DataFrame) -> Model:
     return build({r[0]: (np.frombuffer(r[1], np.uint64), np.frombuffer(r[2], np.int64)) for r in parts.toLocalIterator()})
 
 
-def predict(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The columns named, lang_pred and score of every row; the rows need a text column."""
+def predict(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns to keep, the predicted language and its score of every row; the rows need a text column."""
     sent = df.sparkSession.sparkContext.broadcast(model)  # at most 2**BITS masks of 8 bytes
+    at = keep.index("text") if "text" in keep else len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = sent.value
         for b in batches:
-            found = [own.predict(t) for t in values(b.column("_text"))]
-            yield pa.RecordBatch.from_arrays([*(b.column(i) for i in range(len(keep))), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], [*keep, "lang_pred", "score"])
+            found = [own.predict(t) for t in values(b.column(at))]
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())], [*keep, *names])
 
-    rows = df.select(*keep, F.col("text").alias("_text"))
+    rows = df.select(*keep, *([] if "text" in keep else [F.col("text").alias("_text")]))
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")
+    return rows.mapInArrow(run, f"{kinds}, `{names[0]}` string, `{names[1]}` double")
