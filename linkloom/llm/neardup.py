@@ -30,7 +30,7 @@ from linkloom.llm.graph import components
 
 WORDS, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.999, 128
 #: Classes, and bytes of shingle sets, that one side of a task holds.
-BLOCK, BLOCK_BYTES = 1024, 16 << 20
+BLOCK, BLOCK_BYTES = 1024, 6 << 20
 #: Bytes of a shingle's hash that are shuffled.
 WIDTH = 6
 
@@ -104,31 +104,37 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def shared(sets: list[np.ndarray]) -> np.ndarray:
-    """The sizes of all pairwise intersections, by products of blocks of the incidence matrix."""
-    length = np.array([len(x) for x in sets])
+    """The sizes of all pairwise intersections (exact in float32 below 2**24), by products of blocks of the incidence matrix."""
     kinds, at = np.unique(np.concatenate(sets), return_inverse=True)
+    at = at.astype(np.int32)
     times = np.bincount(at, minlength=len(kinds))
-    place = np.cumsum(times > 1) - 1
-    row = np.repeat(np.arange(len(sets)), length)
+    del kinds
+    place = (np.cumsum(times > 1) - 1).astype(np.int32)
     often = times[at] > 1
-    row, col = row[often], place[at[often]]
-    out = np.zeros((len(sets), len(sets)), np.float32)
-    order = np.argsort(col, kind="stable")
+    row = np.repeat(np.arange(len(sets), dtype=np.int32), [len(x) for x in sets])[often]
+    col = place[at[often]]
+    del at, often, times, place
+    order = np.argsort(col, kind="stable").astype(np.int32)
     row, col = row[order], col[order]
-    step = max(64, (8 << 20) // max(1, len(sets)) // 4)
+    del order
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    step = max(64, (2 << 20) // max(1, len(sets)))
+    part = np.zeros((len(sets), step), np.float32)
     for start in range(0, int(col[-1]) + 1 if len(col) else 0, step):
         i, j = np.searchsorted(col, (start, start + step))
-        part = np.zeros((len(sets), step), np.float32)
+        part[:] = 0
         part[row[i:j], col[i:j] - start] = 1
         out += part @ part.T
-    return np.rint(out).astype(np.int64)
+    return out
 
 
 def links(sets: list[np.ndarray], bands: np.ndarray, band: int, block: np.ndarray, split: bool, threshold: float) -> np.ndarray:
     """Whether each pair is similar and counts here: no earlier band in common, and of different blocks where split."""
-    size = np.array([len(x) for x in sets], np.int64)
-    both = size[:, None] + size[None, :]
-    may = np.minimum(size[:, None], size[None, :]) >= threshold * np.maximum(size[:, None], size[None, :]) - 1e-9
+    size = np.array([len(x) for x in sets], np.float64)
+    may = np.zeros((len(sets), len(sets)), bool)
+    for i in range(0, len(sets), 256):
+        a = size[i : i + 256, None]
+        may[i : i + 256] = np.minimum(a, size) >= threshold * np.maximum(a, size) - 1e-9
     np.fill_diagonal(may, False)
     if split:
         may &= block[:, None] != block[None, :]
@@ -137,10 +143,12 @@ def links(sets: list[np.ndarray], bands: np.ndarray, band: int, block: np.ndarra
     if not may.any():
         return may
     if len(sets) == 2:
-        inter = np.full((2, 2), len(np.intersect1d(sets[0], sets[1], assume_unique=True)))
+        inter = np.full((2, 2), len(np.intersect1d(sets[0], sets[1], assume_unique=True)), np.float32)
     else:
         inter = shared(sets)
-    return may & (inter * (1.0 + threshold) >= threshold * both - 1e-9)
+    for i in range(0, len(sets), 256):
+        may[i : i + 256] &= inter[i : i + 256].astype(float) * (1.0 + threshold) >= threshold * (size[i : i + 256, None] + size) - 1e-9
+    return may
 
 
 def roots(linked: np.ndarray) -> np.ndarray:
