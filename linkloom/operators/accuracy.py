@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from linkloom.functions.normalize import clean, core_of, round1
@@ -13,10 +13,14 @@ from linkloom.operators.directory import location_index
 from linkloom.operators.scoring import prepared_directory, prepared_entities, prepared_locations, scored
 
 
-@F.pandas_udf("double")
-def _python_round(c: pd.Series) -> pd.Series:
+def _python_round(c: str) -> Column:
     """To one decimal of the exact binary value, unlike round1: suggestions are rounded so."""
-    return c.map(lambda x: round(x, 1), na_action="ignore")
+
+    def rounded(c: pd.Series) -> pd.Series:
+        return c.map(lambda x: round(x, 1), na_action="ignore")
+
+    rounded.__annotations__ = {"c": pd.Series, "return": pd.Series}
+    return F.pandas_udf(rounded, "double")(c)
 
 
 SCORES = ("name_score", "number_score", "body_score", "city_score", "state_score", "zip_score", "address_score", "match_score")
