@@ -1,8 +1,9 @@
 """Top-k fuzzy search inside blocks.
 
-The targets of a block are dealt to chunks of bounded size; each query of the block meets each chunk once,
-streamed, and each chunk returns its best rows only.  So a block with a third of all rows is spread
-over many tasks, pairs are never written out, and a task holds one chunk.
+Names are scored once, however many rows share them.  The distinct names of a block's targets are dealt to
+chunks of bounded size; each distinct name asked for in the block meets each chunk once, streamed, and each
+chunk returns its best rows only.  So a block with a third of all rows is spread over many
+tasks, pairs are never written out, and a task holds one chunk.
 """
 
 from __future__ import annotations
@@ -32,10 +33,16 @@ def best_in_blocks(queries: DataFrame, targets: DataFrame, keep: int, floor: flo
     forms are arrays of equal length; a pair's score is the best pair_score of its forms at equal places. Ties
     go to the smaller target.
     """
-    chunks = targets.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
-    held = targets.join(chunks, "block").select("block", F.pmod(F.xxhash64("target", "forms"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("kind"), F.col("target").cast("long").alias("id"), "forms")
-    asked = queries.join(chunks, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("kind"), F.col("query").cast("long").alias("id"), "forms")
-    dealt = held.unionByName(asked).repartition("block", "chunk").sortWithinPartitions("block", "chunk", "kind", "id")
+    # Rows of equal forms score alike, and of those only the keep smallest targets can be among the best.
+    alike = F.row_number().over(Window.partitionBy("block", "forms").orderBy("target"))
+    held = targets.select("block", "forms", F.col("target").cast("long").alias("target")).distinct().withColumn("_n", alike).where(F.col("_n") <= keep)
+    held = held.groupBy("block", "forms").agg(F.array_sort(F.collect_list("target")).alias("ids"))
+    chunks = held.groupBy("block").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    own = held.join(chunks, "block").select("block", F.pmod(F.xxhash64("forms"), F.col("chunks")).cast("int").alias("chunk"), F.lit(0).alias("kind"), "forms", "ids")
+    names = queries.select("block", "forms").distinct()
+    asked = names.join(chunks, "block").select("block", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(1).alias("kind"), "forms", F.lit(None).cast("array<bigint>").alias("ids"))
+    dealt = own.unionByName(asked).repartition("block", "chunk").sortWithinPartitions("block", "chunk", "kind")
+    schema = pa.schema([("block", pa.string()), ("forms", pa.list_(pa.string())), ("target", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -43,35 +50,35 @@ def best_in_blocks(queries: DataFrame, targets: DataFrame, keep: int, floor: flo
                 yield from zip(*(c.to_pylist() for c in b.columns))
 
         def out() -> Iterator[tuple]:
-            own: list[tuple[int, list[str]]] = []
-            for (block, _, kind), group in groupby(rows(), key=lambda r: r[:3]):
+            own: list[tuple[list[str], list[int]]] = []
+            at = None
+            for (block, chunk, kind), group in groupby(rows(), key=lambda r: r[:3]):
                 if kind == 0:
-                    own = [(r[3], r[4]) for r in group]
+                    own, at = [(r[3], r[4]) for r in group], (block, chunk)
                     continue
-                for *_, query, texts in group:
+                for *_, texts, _ in group if at == (block, chunk) else ():
                     found = []
-                    for target, others in own:
+                    for others, ids in own:
                         score = max((pair_score(a, b) for a, b in zip(texts, others) if _reaches(a, b, floor)), default=-1.0)
                         if score >= floor:
-                            found.append((-score, target))
+                            found += [(-score, i) for i in ids]
                     found.sort()
                     for score, target in found[:keep]:
-                        yield query, block, target, -score
-                own = []
+                        yield block, texts, target, -score
 
-        held_rows: list[tuple] = []
-        schema = pa.schema([("query", pa.int64()), ("block", pa.string()), ("target", pa.int64()), ("score", pa.float64())])
+        ready: list[tuple] = []
         for row in out():
-            held_rows.append(row)
-            if len(held_rows) >= 8192:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held_rows), schema.types)], schema=schema)
-                held_rows = []
-        if held_rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held_rows), schema.types)], schema=schema)
-
-    found = dealt.mapInArrow(run, "query long, block string, target long, score double")
-    rank = F.row_number().over(Window.partitionBy("query", "block").orderBy(F.desc("score"), "target"))
-    return found.withColumn("_n", rank).where(F.col("_n") <= keep).drop("_n")
+            ready.append(row)
+            if len(ready) >= 8192:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ready), schema.types)], schema=schema)
+                ready = []
+        if ready:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*ready), schema.types)], schema=schema)
+
+    found = dealt.mapInArrow(run, "block string, forms array<string>, target long, score double")
+    rank = F.row_number().over(Window.partitionBy("block", "forms").orderBy(F.desc("score"), "target"))
+    best = found.withColumn("_n", rank).where(F.col("_n") <= keep).drop("_n")
+    return queries.select(F.col("query").cast("long").alias("query"), "block", "forms").distinct().join(best, ["block", "forms"]).select("query", "block", "target", "score")
 
 
 def with_fallback(queries: DataFrame, targets: DataFrame, every: DataFrame) -> tuple[DataFrame, DataFrame]:
