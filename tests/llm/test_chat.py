@@ -8,12 +8,13 @@ from linkloom.llm import chat
 pieces = st.lists(st.sampled_from(["\\", "###", "</turn>", "\n", "### ", "a b", "Assistant: ", "#", "<", "\r", "é😀", ""]), max_size=9).map("".join)
 
 
+@settings(deadline=None)
 @given(pieces)
 def test_escape_is_reversible(text):
     assert chat.unescape(chat.escape(text)) == text
 
 
-@settings(max_examples=200)
+@settings(max_examples=200, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["system", "user", "assistant", "a:b\n", "%3A", "### x"]), pieces), max_size=12), st.integers(5, 40))
 def test_round_trip(turns, budget):
     got, spoken = [], []

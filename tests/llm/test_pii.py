@@ -24,7 +24,7 @@ def brute(text):
     return out
 
 
-@settings(max_examples=600)
+@settings(max_examples=600, deadline=None)
 @given(st.lists(st.sampled_from(["a", "a@b.c", "@", ".", "b.c", "1", "12", "255.", "1.2.3.4", "+1", " ", "-", "(", ")", "4111 1111-1111 1111", "000000000000000", "é", "+1 (456) 555-2186", "%", "256"]), max_size=12).map("".join))
 def test_base_matches_the_patterns(text):
     assert pii.base_spans(text) == brute(text)
