@@ -1,16 +1,17 @@
 """Benchmark decontamination by the CGK random-walk embedding and bit-sampling LSH.
 
 Symbols are words.  The CGK walk reads a window from its start and, at each step, writes the
-word under it and moves on by a random bit of that step and word; two windows of small edit
-distance then write sequences of small Hamming distance.  Each repetition has a
-walk of its own and samples SAMPLED steps of it; a window and an item that agree on
-them are a candidate pair.  Repetitions follow from a target recall.  Every candidate is
-verified by the exact edit distance between the item and the best substring of the
-text around the window.
-
-Items are embedded at their full size; a text's windows have the sizes of the items' classes
-(powers of two).  Windows that share too few n-word runs with the items of their class are passed
-over without loss: k edits destroy at most k * n of an item's m - n + 1 runs (q-gram lemma).
+word under it and moves on by a random bit of that step and word; equal windows write equal
+sequences.  Every word of an item is an anchor: k edits leave one of its m words' runs of
+ceil((m - k) / (k + 1)) words whole, wherever the edits are, so a window of that many words
+somewhere in the item agrees with the text in every step taken inside it.  The sampled steps of
+several independent walks, none of which can leave the window, make an anchor's key; no occurrence is
+lost, of items of any length.
+
+Windows that share too few n-word runs with the items of their size class are passed
+over without loss: k edits destroy at most k * n of an item's m - n + 1 runs (q-gram lemma).  So are
+items with too few agreeing anchors near one diagonal.  Every candidate left is verified by the exact edit
+distance between the item and the best substring of the text around its diagonals.
 
 Items are handled in blocks of at most BLOCK_ITEMS items and BLOCK_WORDS words, the only data broadcast;
 each block is matched against all texts.  Words are compared lower-cased.
@@ -34,21 +35,19 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import PLACES, batches_of, mix, values, word_hashes
 
 SIMILARITY = 0.8
-RECALL = 0.99
-#: Steps sampled by a repetition; the chance that a repetition finds a pair at the limit. On 600 random edits at the
-#: limit it was 0.375 on average from the item's first word alone; pairs differ, so the whole search's recall is tested too.
-SAMPLED, CHANCE = 2, 0.3
+#: Walks whose sampled steps make a key, and the steps of a walk sampled at most.
+WALKS, SAMPLED = 6, 4
 BLOCK_ITEMS, BLOCK_WORDS = 4096, 400_000
 #: Bits of the table of the items' runs: a collision only lets a window through.
 SEED_BITS = 22
-#: Words of a window at most: longer items are found by their first words and verified whole.
-LONGEST = 128
+#: Agreeing anchors of a text and a size class held at a time; beyond them an item is verified against the whole text.
+PAIRS = 2_000_000
 
 SCHEMA = pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("distance", pa.int64()), ("similarity", pa.float64()), ("first_word", pa.int64())])
 
 
-def repetitions(recall: float = RECALL) -> int:
-    return math.ceil(math.log(1 - recall) / math.log(1 - CHANCE))
+def repetitions() -> int:
+    return WALKS
 
 
 def allowed(words: int) -> int:
@@ -56,14 +55,19 @@ def allowed(words: int) -> int:
     return int((1 - SIMILARITY) * words + 1e-9)
 
 
-def seed_words(words: int) -> int:
-    """The run that an item keeps under its allowed edits, 3 at most."""
+def whole_run(words: int) -> int:
+    """The run that an item keeps under its allowed edits, wherever they are."""
     k = allowed(words)
-    return max(1, min(3, -(-(words - k) // (k + 1))))
+    return max(1, -(-(words - k) // (k + 1)))
+
+
+def seed_words(words: int) -> int:
+    """The same, 3 at most."""
+    return min(3, whole_run(words))
 
 
 def size_class(words: int) -> int:
-    return min(LONGEST, 1 << (words.bit_length() - 1))
+    return 1 << (words.bit_length() - 1)
 
 
 def walk(words: np.ndarray, starts: np.ndarray, size: int, rep: int, steps: np.ndarray) -> np.ndarray:
@@ -80,10 +84,17 @@ def walk(words: np.ndarray, starts: np.ndarray, size: int, rep: int, steps: np.n
 
 
 def sampled_steps(size: int, rep: int) -> np.ndarray:
-    """Sorted steps of the walk through a window, sampled by a repetition; a walk of 3 / 2 of the size stays inside on average."""
+    """Sorted steps of a walk, sampled among those that cannot leave a window of so many words."""
     rng = np.random.default_rng((size, rep, 7))
-    n = max(1, size * 3 // 2)
-    return np.sort(rng.choice(n, min(SAMPLED, n), replace=False))
+    return np.sort(rng.choice(size, min(SAMPLED, size), replace=False))
+
+
+def keys_of(words: np.ndarray, starts: np.ndarray, size: int, repeats: int) -> np.ndarray:
+    """A key for the window of size words at each start, from the sampled steps of all walks."""
+    out = np.zeros(len(starts), np.uint64)
+    for rep in range(repeats):
+        out = mix(out * np.uint64(0xD6E8FEB86659FD93) + walk(words, starts, size, rep, sampled_steps(size, rep)))
+    return out
 
 
 def runs(words: np.ndarray, n: int) -> np.ndarray:
@@ -111,7 +122,7 @@ def substring_distance(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
 
 @dataclass
 class Index:
-    """A block of items: words of each, seeds by run length, and LSH tables by size class."""
+    """A block of items: words of each, and by size class seeds and a table of the keys of all anchors."""
 
     ids: list[int]
     items: list[np.ndarray]
@@ -129,19 +140,18 @@ class Index:
             seeds = np.zeros(1 << SEED_BITS, bool)
             for i in own:
                 seeds[(runs(self.items[i], n) >> np.uint64(64 - SEED_BITS)).astype(np.int64)] = True
-            tables = []
-            for rep in range(self.repeats):
-                steps = sampled_steps(size, rep)
-                keys = np.concatenate([walk(self.items[i], np.zeros(1, np.int64), size, rep, steps) for i in own])
-                order = np.argsort(keys, kind="stable")
-                tables.append((steps, keys[order], np.array(own)[order]))
-            self.classes[size] = {"n": n, "longest": longest, "edits": allowed(longest), "needed": max(1, needed), "seeds": seeds, "tables": tables}
-
-    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        """(item, starts of windows) of agreeing pairs."""
+            run = min(whole_run(len(self.items[i])) for i in own)
+            anchors = [np.arange(len(self.items[i]) - run + 1) for i in own]
+            keys = np.concatenate([keys_of(self.items[i], a, run, self.repeats) for i, a in zip(own, anchors)])
+            order = np.argsort(keys, kind="stable")
+            table = (keys[order], np.repeat(own, [len(a) for a in anchors])[order], np.concatenate(anchors)[order])
+            self.classes[size] = {"n": n, "run": run, "longest": longest, "edits": allowed(longest), "needed": max(1, needed), "seeds": seeds, "table": table}
+
+    def candidates(self, words: np.ndarray) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+        """(item, its ranges of diagonals) of agreeing pairs; a diagonal is where the item's first word would lie."""
         places: dict[int, np.ndarray] = {}
-        for size, c in self.classes.items():
-            n = c["n"]
+        for c in self.classes.values():
+            n, run = c["n"], c["run"]
             if n not in places:
                 places[n] = (runs(words, n) >> np.uint64(64 - SEED_BITS)).astype(np.int64)
             hit = c["seeds"][places[n]]
@@ -152,18 +162,42 @@ class Index:
             here = np.arange(len(words))
             low = np.clip(here - c["edits"], 0, len(hit))
             high = np.clip(here + c["longest"] + 2 * c["edits"], 0, len(hit))
-            starts = np.flatnonzero(total[high] - total[low] >= c["needed"])
-            if not len(starts):
+            near = np.concatenate(([0], np.cumsum(total[high] - total[low] >= c["needed"])))
+            # Windows inside an occurrence that starts at one of those words.
+            at = np.flatnonzero(near[here + 1] > near[np.maximum(0, here - c["longest"] - c["edits"])])
+            at = at[at <= len(words) - run]
+            if not len(at):
+                continue
+            keys, owner, anchor = c["table"]
+            key = keys_of(words, at, run, self.repeats)
+            i, j = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
+            found = np.flatnonzero(j > i)
+            if not len(found):
                 continue
-            found: dict[int, list[np.ndarray]] = {}
-            for rep, (steps, keys, own) in enumerate(c["tables"]):
-                key = walk(words, starts, size, rep, steps)
-                i, j = np.searchsorted(keys, key, "left"), np.searchsorted(keys, key, "right")
-                for k in np.flatnonzero(j > i):
-                    for item in own[i[k] : j[k]]:
-                        found.setdefault(int(item), []).append(starts[k])
-            for item, at in found.items():
-                yield item, np.unique(at)
+            at, i, times = at[found], i[found], (j - i)[found]
+            if times.sum() > PAIRS:
+                held = np.zeros(len(keys) + 1, np.int64)
+                np.add.at(held, i, 1)
+                np.add.at(held, i + times, -1)
+                for item in np.unique(owner[np.cumsum(held[:-1]) > 0]).tolist():
+                    yield item, [(0, len(words))]
+                continue
+            entry = np.repeat(i - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
+            item, diagonal, place = owner[entry], np.repeat(at, times) - anchor[entry], anchor[entry]
+            order = np.lexsort((diagonal, item))
+            item, diagonal, place = item[order], diagonal[order], place[order]
+            cuts = np.flatnonzero(np.diff(item, prepend=-1, append=-1))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                m = len(self.items[item[a]])
+                k = allowed(m)
+                least = max(1, m - run + 1 - run * k)
+                if b - a < least:
+                    continue
+                # The anchors of an occurrence agree on diagonals at most 2 * k apart.
+                ends = [*(np.flatnonzero(np.diff(diagonal[a:b]) > 2 * k) + a + 1).tolist(), b]
+                ranges = [(int(diagonal[x]), int(diagonal[y - 1])) for x, y in zip([a, *ends], ends) if y - x >= least and len(np.unique(place[x:y])) >= least]
+                if ranges:
+                    yield int(item[a]), ranges
 
     def matches(self, text: str | None) -> Iterator[tuple[int, int, float, int]]:
         """(item id, distance, similarity, first word) of each item found."""
@@ -171,28 +205,20 @@ class Index:
         if not len(words):
             return
         best: dict[int, tuple[int, int]] = {}
-        for item, starts in self.candidates(words):
+        for item, ranges in self.candidates(words):
             own = self.items[item]
             m, k = len(own), allowed(len(own))
-            done = -1
-            for start in starts.tolist():
-                if start < done:
+            for first, last in ranges:
+                low = max(0, first - k)
+                part = words[low : last + m + 2 * k]
+                if np.count_nonzero(np.isin(own, part)) < m - k:  # each edit costs the item one word at most
+                    continue
+                d, end = substring_distance(own, part)
+                if d > k:
                     continue
-                if np.array_equal(words[start : start + m], own):
-                    got = (0, start)
-                else:
-                    low = max(0, start - k)
-                    part = words[low : start + m + 2 * k]
-                    if np.count_nonzero(np.isin(own, part)) < m - k:  # each edit costs the item one word at most
-                        continue
-                    d, end = substring_distance(own, part)
-                    if d > k:
-                        continue
-                    begin = len(part[:end]) - substring_distance(own[::-1], part[:end][::-1])[1]
-                    got = (d, low + begin)
-                best[item] = min(got, best.get(item, got))
-                if got[0] == 0:
-                    done = start + 1
+                begin = len(part[:end]) - substring_distance(own[::-1], part[:end][::-1])[1]
+                best[item] = min((d, low + begin), best.get(item, (d, low + begin)))
+                if d == 0:
                     break
         for item, (d, first) in best.items():
             yield self.ids[item], d, 1 - d / len(self.items[item]), first

@@ -72,3 +72,27 @@ def test_tables(spark, monkeypatch):
     assert kept.columns == df.columns and sorted(r.doc_id for r in kept.collect()) == [2, 3, 4]
     assert decontam.find(df, items.limit(0)).count() == 0 and decontam.find(df.limit(0), items).count() == 0
     assert decontam.drop(df, items.limit(0)).count() == len(rows)
+
+
+def test_finds_items_wherever_the_edits_are():
+    rng = random.Random(9)
+    items = [(i, [rng.choice(WORDS) for _ in range(n)]) for i, n in enumerate([12, 20, 59, 100, 127, 150, 300, 700] * 4)]
+    index = decontam.Index([i for i, _ in items], [word_hashes(" ".join(w)) for _, w in items], decontam.repetitions())
+    around = [" ".join(rng.choice(WORDS) for _ in range(40)) for _ in range(2)]
+    missed = []
+    for i, own in items:
+        m, k = len(own), decontam.allowed(len(own))
+        third = [rng.choice(WORDS) + "x" for _ in range(k)]
+        forms = {
+            "head replaced": third + own[k:],
+            "head deleted": own[k:],
+            "head inserted into": own[:1] + third + own[1:],
+            "tail replaced": own[: m - k] + third,
+            "middle deleted": own[: m // 2] + own[m // 2 + k :],
+            "spread": [third[j // 5] if j % 5 == 4 and j // 5 < k else w for j, w in enumerate(own)],
+        }
+        for name, words in forms.items():
+            got = {item: d for item, d, *_ in index.matches(f"{around[0]} {' '.join(words)} {around[1]}")}
+            if got.get(i, m) > k:
+                missed.append((m, name))
+    assert not missed
