@@ -6,8 +6,7 @@ predicts each token from the SIDE tokens on either side (the token itself is mas
 position are summed, squashed, and a two-level softmax (CLASSES frequency classes, then the class's members) gives the
 conditional probability.  A document's score is the sum of its tokens' log-probabilities.
 
-Training takes one document of RATE, by a hash of the text, from the whole corpus, so it
-grows with the input.  Shards of about SHARD documents are trained apart from the same start; their
+Training takes every distinct text of the corpus, so it grows with the input.  Shards of about SHARD documents are trained apart from the same start; their
 weights are averaged, by tokens, in two streamed steps whose memory does not grow; PASSES times.
 
 Edge cases: null and empty texts, and texts without words, have no tokens, sum 0 and null mean; a text of
@@ -29,7 +28,8 @@ from linkloom.llm.common import batches_of, checkpoint, groups_of, mix, values,
 CLASSES, MEMBERS, OTHERS = 64, 64, 512
 SIZE = CLASSES * MEMBERS
 SIDE, WIDTH = 2, 16
-RATE, SHARD, PASSES = 16, 2048, 2
+#: One distinct text of RATE trains: all of them.
+RATE, SHARD, PASSES = 1, 2048, 2
 STEP, BATCH = 0.4, 1024
 #: Parts that the weights are cut into while they are averaged.
 PARTS = 32
@@ -89,6 +89,11 @@ class Network:
         x = x - x.max(axis=1, keepdims=True)
         return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
 
+    @staticmethod
+    def _soft(x: np.ndarray) -> np.ndarray:
+        e = np.exp(x - x.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
+
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of the tokens padded[at + SIDE], given those around them."""
         target = padded[at + SIDE]
@@ -109,7 +114,7 @@ class Network:
         target = padded[at + SIDE]
         h = self.hidden(padded, at)
         group = target // MEMBERS
-        miss = np.exp(self._log(h @ self.outer.T + self.outer_bias))
+        miss = self._soft(h @ self.outer.T + self.outer_bias)
         miss[np.arange(len(at)), group] -= 1
         back = miss @ self.outer
         pace = rate / len(at)
@@ -120,7 +125,7 @@ class Network:
         for g in range(CLASSES):
             i = order[cuts[g] : cuts[g + 1]]
             if len(i):
-                own = np.exp(self._log(h[i] @ self.inner[g].T + self.inner_bias[g]))
+                own = self._soft(h[i] @ self.inner[g].T + self.inner_bias[g])
                 own[np.arange(len(i)), target[i] % MEMBERS] -= 1
                 back[i] += own @ self.inner[g]
                 self.inner[g] -= pace * 8 * (own.T @ h[i])
@@ -177,11 +182,18 @@ def vocabulary(df: DataFrame) -> Vocabulary:
 def train(df: DataFrame, words: Vocabulary) -> Network:
     spark = df.sparkSession
     net = Network(words.counts)
-    h = F.xxhash64("text")
-    rows = df.where("text IS NOT NULL").select("text", h.alias("h")).where(F.pmod("h", F.lit(RATE)) == 0).dropDuplicates(["h"])
-    rows = checkpoint(rows.select("h", "text"))
-    shards = max(1, -(-rows.count() // SHARD))
-    dealt = rows.repartition(shards, F.xxhash64("h", F.lit(5))).sortWithinPartitions("h")
+    texts = df.where("text IS NOT NULL").select(F.xxhash64("text").alias("h"), "text").where(F.pmod("h", F.lit(RATE)) == 0)
+    shards = max(1, -(-texts.select("h").distinct().count() // SHARD))
+    coder = spark.sparkContext.broadcast(words)  # at most SIZE words
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Tokens as two bytes each: a third of the text to move and keep.
+        for b in batches:
+            ids = [coder.value.ids(word_hashes(t)).astype("<u2").tobytes() for t in values(b.column(1))]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["h", "ids"])
+
+    rows = texts.mapInArrow(code, "h long, ids binary").dropDuplicates(["h"])
+    dealt = checkpoint(rows.repartition(shards, F.xxhash64("h", F.lit(5))).sortWithinPartitions("h"))
     schema = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("weight", pa.float64()), ("data", pa.binary())])
     ddl = "part int, shard long, weight double, data binary"
 
@@ -209,7 +221,7 @@ def train(df: DataFrame, words: Vocabulary) -> Network:
                 for i in range(0, b.num_rows, 64):
                     hs = b.column(0).slice(i, 64)
                     first = hs[0].as_py() if first is None and len(hs) else first
-                    padded, at, _ = pad([words.ids(word_hashes(t)) for t in values(b.column(1).slice(i, 64))])
+                    padded, at, _ = pad([np.frombuffer(t, "<u2").astype(np.int64) for t in values(b.column(1).slice(i, 64))])
                     at = at[np.argsort(mix(at.astype(np.uint64)), kind="stable")]
                     for j in range(0, len(at), BATCH):
                         own.step(padded, at[j : j + BATCH], rate)

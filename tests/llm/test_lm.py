@@ -53,3 +53,12 @@ def test_training_helps(spark, monkeypatch):
     none = df.limit(0)
     words = lm.vocabulary(none)
     assert lm.score(none, words, lm.train(none, words)).count() == 0
+
+
+def test_every_text_trains(spark):
+    texts = [f"red green blue {i} red green blue {i % 3} red green blue" for i in range(60)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").where("pmod(xxhash64(text), 16) <> 0")
+    words = lm.vocabulary(df)
+    ids = [words.ids(word_hashes(r.text)) for r in df.collect()]
+    assert len(ids) > 40
+    assert lm.score_texts(lm.train(df, words), ids).sum() > lm.score_texts(lm.Network(words.counts), ids).sum() + 1
