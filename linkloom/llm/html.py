@@ -3,8 +3,9 @@
 Every page is parsed into a tree.  Elements that are menus, headers, footers and the like by
 name, role, class or id are dropped.  Of the rest, subtrees are hashed and counted per host
 in Spark; those found on at least MANY pages and SHARE of a host's pages are its templates
-and are deleted, except headings, paragraphs and lists inside an article (copies of an
-article on one host are content).  What is left of the articles (else of main, else of the body) is cut into
+and are deleted.  Pages of a host with the same main text count as one, for its copies are
+content; headings, paragraphs and lists inside an article stay, and so does a subtree
+that holds over HALF of its article's text, or over WHOLE of a page without article and main.  What is left of the articles (else of main, else of the body) is cut into
 blocks: character references decoded, white space inside a block one space, blocks joined by an empty line.
 
 The templates of a host number at most 1 / SHARE of its pages' mean subtrees; they are
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from linkloom.llm.common import batches_of, checkpoint, values
 
 MANY, SHARE, BROADCAST = 4, 0.3, 500_000
+HALF, WHOLE = 0.5, 0.8
 
 # Element names by kind, and words of class, id and role that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -47,12 +49,13 @@ _WORDS = re.compile(r"[^a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "marks", "children", "inside", "digest")
+    __slots__ = ("tag", "marks", "children", "inside", "digest", "size")
 
     def __init__(self, tag: str, marks: str = "", inside: bool = False):
         self.tag, self.marks, self.inside = tag, marks, inside
         self.children: list = []
         self.digest = 0
+        self.size = 0
 
 
 def _boilerplate(tag: str, raw: str, inside: bool) -> tuple[bool, str]:
@@ -155,17 +158,20 @@ def _ordered(root: Node) -> list[Node]:
 
 
 def hashes(root: Node) -> set[int]:
-    """Sets each node's digest, and returns those of the subtrees that a template may delete."""
+    """Sets each node's digest and characters, and returns those of the subtrees that a template may delete."""
     out = set()
     for node in reversed(_ordered(root)):
         own = xxhash.xxh64(f"{node.tag} {node.marks}")
         full = False
+        node.size = 0
         for c in node.children:
             if type(c) is str:
                 if own_text := " ".join(c.split()):
                     own.update("\0" + own_text)
                     full = True
+                    node.size += len(own_text)
             else:
+                node.size += c.size
                 own.update(c.digest.to_bytes(8, "little", signed=True))
                 full = True
         node.digest = own.intdigest() - (1 << 63)
@@ -195,6 +201,7 @@ def blocks(root: Node, templates: frozenset[int]) -> list[str]:
             now.clear()
 
     for top in tops:
+        spared = top.size * (HALF if top.tag in ("article", "main") else WHOLE)
         front: list = [top]
         while front:
             x = front.pop()
@@ -204,7 +211,7 @@ def blocks(root: Node, templates: frozenset[int]) -> list[str]:
                 flush()
             elif x.tag == "br":
                 now.append(" ")
-            elif x.digest in templates and x.tag in BLOCK and x is not top and not (x.inside and x.tag in CONTENT):
+            elif x.digest in templates and x.tag in BLOCK and x is not top and not (x.inside and x.tag in CONTENT) and x.size <= spared:
                 flush()
             elif x.tag in BLOCK:
                 flush()
@@ -233,13 +240,18 @@ def templates(df: DataFrame) -> DataFrame:
         def out() -> Iterator[tuple]:
             for b in batches:
                 for host, page in zip(values(b.column(0)), values(b.column(1))):
-                    for h in hashes(parse(page or "")):
-                        yield host, h
-
-        yield from batches_of(out(), pa.schema([("host", pa.string()), ("h", pa.int64())]), 65536)
-
-    pages = rows.groupBy("host").count().withColumnRenamed("count", "pages")
-    times = rows.mapInArrow(run, "host string, h long").groupBy("host", "h").agg(F.count("*").alias("n")).where(F.col("n") >= MANY)
+                    root = parse(page or "")
+                    own = xxhash.xxh64("\n\n".join(blocks(root, frozenset()))).intdigest() - (1 << 63)
+                    yield host, own, None  # the page itself
+                    for h in hashes(root):
+                        yield host, own, h
+
+        yield from batches_of(out(), pa.schema([("host", pa.string()), ("page", pa.int64()), ("h", pa.int64())]), 65536)
+
+    found = rows.mapInArrow(run, "host string, page long, h long").distinct().groupBy("host", "h").agg(F.count("*").alias("n")).where("h IS NULL OR n >= %d" % MANY)
+    found = checkpoint(found)
+    pages = found.where("h IS NULL").select("host", F.col("n").alias("pages"))
+    times = found.where("h IS NOT NULL")
     return times.join(pages, "host").where(F.col("n") >= SHARE * F.col("pages")).groupBy("host").agg(F.collect_list("h").alias("found"))
 
 

@@ -25,3 +25,14 @@ def test_templates_are_deleted(spark):
     assert all(found[100 + i] == "Copy\n\nSame story" for i in range(6))
     assert found[200] == "x" and found[201] == "" and all(len(t) == n for _, t, n in got)
     assert html.extract(df.limit(0)).count() == 0
+
+
+def test_copies_are_content(spark):
+    story = "<article><div class=body><p>One story</p><p>told twice</p></div></article>"
+    rows = [(i, f"https://a.example/{i}", story) for i in range(6)] + [(10 + i, f"https://a.example/x{i}", f"<article><p>Own text {i}</p></article>") for i in range(9)]
+    rows += [(30 + i, f"https://b.example/{i}", "<div><p>No article here</p><p>only blocks</p></div>") for i in range(6)]
+    rows += [(50 + i, f"https://c.example/{i}", f"<article><h1>Copy {i}</h1><div><p>A long story that is told again</p></div></article>") for i in range(6)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert {got[i] for i in range(6)} == {"One story\n\ntold twice"} and got[10] == "Own text 0"
+    assert {got[30 + i] for i in range(6)} == {"No article here\n\nonly blocks"}
+    assert all(got[50 + i] == f"Copy {i}\n\nA long story that is told again" for i in range(6))
