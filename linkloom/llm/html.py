@@ -2,14 +2,14 @@
 
 Every page is parsed into a tree.  Elements that are menus, headers, footers and the like by
 name, role, class or id are dropped.  Of the rest, subtrees are hashed and counted per host
-in Spark; those found on at least MANY pages and SHARE of a host's pages are its templates
-and are deleted.  Pages of a host with the same main text count as one, for its copies are
+in Spark; those found on at least MANY pages and SHARE of a host's pages, or on at least ENOUGH pages
+of a host of any size, are its templates and are deleted; for single cells and list items, which data
+repeats too, only the share counts.  Pages of a host with the same main text count as one, for its copies are
 content; headings, paragraphs and lists inside an article stay, and so does a subtree
 that holds over HALF of its article's text, or over WHOLE of a page without article and main.  What is left of the articles (else of main, else of the body) is cut into
 blocks: character references decoded, white space inside a block one space, blocks joined by an empty line.
 
-The templates of a host number at most 1 / SHARE of its pages' mean subtrees; they are
-broadcast only if all hosts' together have at most BROADCAST entries, and joined by host otherwise.
+The templates are broadcast by host if all hosts' together have at most BROADCAST entries, and joined by host otherwise.
 
 Edge cases: null or empty html gives an empty text; unclosed and crossing tags, comments and truncated pages are
 read as far as they go; nesting of any depth is read without recursion; pages without a host have no
@@ -22,6 +22,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -31,6 +32,8 @@ from linkloom.llm.common import batches_of, checkpoint, values
 
 MANY, SHARE, BROADCAST = 4, 0.3, 500_000
 HALF, WHOLE = 0.5, 0.8
+#: Distinct pages that make a template on a host of any size.
+ENOUGH = 50
 
 # Element names by kind, and words of class, id and role that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -39,6 +42,7 @@ DROPPED = frozenset("script style textarea title noscript iframe xmp noembed nof
 BLOCK = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCK - frozenset("body caption html option summary tbody td tfoot th thead tr".split())
 BOILERPLATE = frozenset("ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent disqus footer gdpr menu modal nav navbar navigation newsletter notice notices pagination popup promo promotion related share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary search masthead".split())
+PARTS = frozenset("li dt dd td th tr caption figcaption".split())
 CONTENT = frozenset("p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd blockquote pre table thead tbody tfoot tr td th figure figcaption caption article main body html".split())
 
 _TOKEN = re.compile(r"""<!--(?:>|->|.*?(?:-->|--!>|\Z))|<[!?][^>]*(?:>|\Z)|</?[a-zA-Z](?:[^>"']|"[^"]*"|'[^']*')*+>|</?[a-zA-Z][^>]*(?:>|\Z)|</[^>]*(?:>|\Z)|[^<]+|<""", re.S)
@@ -157,9 +161,9 @@ def _ordered(root: Node) -> list[Node]:
     return out
 
 
-def hashes(root: Node) -> set[int]:
-    """Sets each node's digest and characters, and returns those of the subtrees that a template may delete."""
-    out = set()
+def hashes(root: Node) -> dict[int, bool]:
+    """Sets each node's digest and characters, and returns those of the subtrees that a template may delete, and whether each is a cell or list item."""
+    out = {}
     for node in reversed(_ordered(root)):
         own = xxhash.xxh64(f"{node.tag} {node.marks}")
         full = False
@@ -176,7 +180,7 @@ def hashes(root: Node) -> set[int]:
                 full = True
         node.digest = own.intdigest() - (1 << 63)
         if full and node.tag in BLOCK and not (node.tag in ("body", "html", "article", "main") or node.inside and node.tag in CONTENT):
-            out.add(node.digest)
+            out[node.digest] = node.tag in PARTS
     return out
 
 
@@ -242,17 +246,17 @@ def templates(df: DataFrame) -> DataFrame:
                 for host, page in zip(values(b.column(0)), values(b.column(1))):
                     root = parse(page or "")
                     own = xxhash.xxh64("\n\n".join(blocks(root, frozenset()))).intdigest() - (1 << 63)
-                    yield host, own, None  # the page itself
-                    for h in hashes(root):
-                        yield host, own, h
+                    yield host, own, None, False  # the page itself
+                    for h, part in hashes(root).items():
+                        yield host, own, h, part
 
-        yield from batches_of(out(), pa.schema([("host", pa.string()), ("page", pa.int64()), ("h", pa.int64())]), 65536)
+        yield from batches_of(out(), pa.schema([("host", pa.string()), ("page", pa.int64()), ("h", pa.int64()), ("part", pa.bool_())]), 65536)
 
-    found = rows.mapInArrow(run, "host string, page long, h long").distinct().groupBy("host", "h").agg(F.count("*").alias("n")).where("h IS NULL OR n >= %d" % MANY)
+    found = rows.mapInArrow(run, "host string, page long, h long, part boolean").distinct().groupBy("host", "h", "part").agg(F.count("*").alias("n")).where("h IS NULL OR n >= %d" % MANY)
     found = checkpoint(found)
     pages = found.where("h IS NULL").select("host", F.col("n").alias("pages"))
     times = found.where("h IS NOT NULL")
-    return times.join(pages, "host").where(F.col("n") >= SHARE * F.col("pages")).groupBy("host").agg(F.collect_list("h").alias("found"))
+    return times.join(pages, "host").where((F.col("n") >= SHARE * F.col("pages")) | ~F.col("part") & (F.col("n") >= ENOUGH)).groupBy("host").agg(F.collect_list("h").alias("found"))
 
 
 def extract(df: DataFrame) -> DataFrame:
@@ -260,17 +264,22 @@ def extract(df: DataFrame) -> DataFrame:
     known = checkpoint(templates(df))
     total = known.agg(F.coalesce(F.sum(F.size("found") + 4), F.lit(0))).first()[0]
     rows = df.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    rows = rows.join(F.broadcast(known) if total <= BROADCAST else known, "host", "left").select("page_id", "url", "html", "found")
+    if total <= BROADCAST:
+        sent = df.sparkSession.sparkContext.broadcast({r["host"]: np.array(r["found"], np.int64) for r in known.toLocalIterator()})
+        rows = rows.select("page_id", "url", "html", "host")
+    else:
+        sent = None
+        rows = rows.join(known, "host", "left").select("page_id", "url", "html", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[tuple]:
-            sets: dict[tuple, frozenset[int]] = {}
+            sets: dict = {}
             for b in batches:
                 for page_id, url, page, found in zip(*(values(c) for c in b.columns)):
-                    key = tuple(found or ())
+                    key = found if sent else tuple(found or ())
                     if key not in sets:
                         sets.clear() if len(sets) > 256 else None
-                        sets[key] = frozenset(key)
+                        sets[key] = frozenset(sent.value[key].tolist() if key in sent.value else ()) if sent else frozenset(key)
                     text = text_of(page, sets[key])
                     yield page_id, url, text, len(text)
 

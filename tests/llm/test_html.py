@@ -36,3 +36,18 @@ def test_copies_are_content(spark):
     assert {got[i] for i in range(6)} == {"One story\n\ntold twice"} and got[10] == "Own text 0"
     assert {got[30 + i] for i in range(6)} == {"No article here\n\nonly blocks"}
     assert all(got[50 + i] == f"Copy {i}\n\nA long story that is told again" for i in range(6))
+
+
+def test_templates_of_a_large_host(spark, monkeypatch):
+    notice = "<div><p>Prices without tax</p></div>"
+    rows = [(i, f"https://a.example/{i}", f"<body>{notice if i % 6 == 0 else ''}<section><p>Own text {i} of this page</p><table><tr><td>Yes<td>{i}</table></section></body>") for i in range(360)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for most in (html.BROADCAST, 0):
+        monkeypatch.setattr(html, "BROADCAST", most)
+        got = {r.page_id: r.text for r in html.extract(df.where("page_id < 360")).collect()}
+        assert not any("Prices" in t for t in got.values())
+        assert all(t.startswith(f"Own text {i} of this page") for i, t in got.items())
+    few = html.extract(df.where("page_id % 6 = 0 OR page_id % 6 = 1 AND page_id < 100")).collect()
+    assert not any("Prices" in r.text for r in few)
+    mixed = spark.createDataFrame([(i, f"https://b.example/{i}", f"<table><tr><td>Own {i}</td><td>{'Yes' if i % 6 == 0 else f'No {i}'}</td></tr></table>") for i in range(360)], "page_id long, url string, html string")
+    assert sum("Yes" in r.text for r in html.extract(mixed).collect()) == 60
