@@ -1,7 +1,8 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Base spans come from four patterns.  The field's nodes are the white-space tokens that
-hold a digit or an @; its labels are the four kinds and none.  Chain edges join neighbouring tokens, skip
+hold a digit or an @; the tokens of one base span are one node, and so are neighbouring tokens
+that together repeat the digits of one.  Its labels are the four kinds and none.  Chain edges join neighbouring tokens, skip
 edges join each token to the last one before it, at any distance, with the same digits (its last DIGITS)
 or the same address.  Weights are learned in numpy by pseudo-likelihood from the base labels of a
 bounded sample (SAMPLE rows that hold candidates, by a hash of the text).  In a document, tokens of base
@@ -17,8 +18,10 @@ nothing; other columns are ignored.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,8 @@ NONE = len(KINDS)
 SAMPLE, SHAPES, DIGITS, BELIEF, ROUNDS = 4000, 400, 7, 0.8, 12
 #: Where the prior of a skip edge's weight lies if both tokens are of one kind; data without repeats leave it there.
 AGREE = 3.0
+#: Digits of a card or phone at most, and leading ones that a repeat may write in another way.
+LONGEST, TRUNK = 19, 2
 
 Span = tuple[str, int, int]
 
@@ -41,6 +46,7 @@ _IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+_NUMERIC = re.compile(r"[(\[+]{0,2}[0-9][0-9().+/_\]-]{0,40}[,;:!?]?")
 _TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 
 
@@ -95,6 +101,48 @@ def tokens(text: str) -> list[tuple[int, int]]:
     return [m.span() for m in _TOKEN.finditer(text)] if "@" in text or _DIGIT.search(text) else []
 
 
+def nodes(text: str, base: list[Span]) -> list[tuple[int, int]]:
+    """The tokens, with those of a base span joined, and those in a row that repeat the digits of a joined or single one."""
+    spans = tokens(text)
+    if not spans or not base:
+        return spans
+    starts, ends = [i for i, _ in spans], [j for _, j in spans]
+    last = list(range(len(spans)))  # the last token of the node that begins at a token
+    inside = [False] * len(spans)
+    mentions: dict[str, list[str]] = {}
+    for kind, i, j in base:
+        low, high = bisect_right(ends, i), bisect_left(starts, j) - 1
+        if low > high:
+            continue
+        last[low] = max(last[low], high)
+        inside[low : high + 1] = [True] * (high + 1 - low)
+        if kind in ("card", "phone"):
+            digits = "".join(_DIGIT.findall(text[i:j]))
+            same = mentions.setdefault(digits[-DIGITS:], [])
+            if digits not in same and len(same) < 8:
+                same.append(digits)
+    k = len(spans) - 1
+    while mentions and k >= 0:
+        first, joined = k, ""
+        found = k
+        while first >= 0 and not inside[first] and len(joined) <= LONGEST and (first == k or starts[first + 1] - ends[first] == 1) and _NUMERIC.fullmatch(text, *spans[first]):
+            joined = "".join(_DIGIT.findall(text[starts[first] : ends[first]])) + joined
+            if any(len(commonprefix((joined[::-1], d[::-1]))) >= max(DIGITS, len(joined) - TRUNK) for d in mentions.get(joined[-DIGITS:], ())):
+                found = first
+            first -= 1
+        last[found] = max(last[found], k)
+        k = found - 1
+    out, k = [], 0
+    while k < len(spans):
+        end, at = last[k], k
+        while at < end:
+            at += 1
+            end = max(end, last[at])
+        out.append((starts[k], ends[end]))
+        k = end + 1
+    return out
+
+
 def shape(token: str) -> str:
     """Digits as 0, runs of letters as a, of other characters as they are; 24 characters at most."""
     token = re.sub(r"[^\W\d_]+", "a", token[:64])
@@ -119,20 +167,27 @@ def features(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
     return out
 
 
-def edges(text: str, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of nodes, earlier first, and the kind of each edge (0 chain, 1 skip)."""
-    out, kind = [], []
-    last: dict[str, int] = {}
+def edges(text: str, spans: list[tuple[int, int]], known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of nodes, earlier first, the kind of each edge (0 chain, 1 skip), and its strength: of a skip edge to an
+    observed mention, shared last digits in DIGITS; neighbours of the list that aren't observed have none."""
+    out, kind, strength = [], [], []
+    last: dict[str, tuple[int, str]] = {}
     for k, (i, j) in enumerate(spans):
         if k and i - spans[k - 1][1] <= 1:
             out.append((k - 1, k))
             kind.append(0)
+            strength.append(1.0)
         if (key := key_of(text[i:j])) is not None:
-            if key in last and last[key] != k - 1:
-                out.append((last[key], k))
-                kind.append(1)
-            last[key] = k
-    return np.array(out, np.int64).reshape(-1, 2), np.array(kind, np.int64)
+            digits = "".join(_DIGIT.findall(text[i:j]))[: -2 * LONGEST : -1]
+            if key in last:
+                at, before = last[key]
+                seen = known[at] != NONE or known[k] != NONE
+                if seen or at != k - 1:
+                    out.append((at, k))
+                    kind.append(1)
+                    strength.append(1.0 if "@" in key or not seen else min(LONGEST, len(commonprefix((digits, before)))) / DIGITS)
+            last[key] = k, digits
+    return np.array(out, np.int64).reshape(-1, 2), np.array(kind, np.int64), np.array(strength)
 
 
 def observed(spans: list[tuple[int, int]], base: list[Span]) -> np.ndarray:
@@ -161,10 +216,10 @@ class Field:
         seen = known != NONE
         unary[seen] = -30.0
         unary[np.flatnonzero(seen), known[seen]] = 0.0
-        ends, kind = edges(text, spans)
+        ends, kind, strength = edges(text, spans, known)
         if not len(ends):
             return _softmax(unary)
-        pair = np.exp(self.pair[kind])
+        pair = np.exp(self.pair[kind] * strength[:, None, None])
         right = np.zeros((len(ends), NONE + 1))  # message to the later node
         left = np.zeros((len(ends), NONE + 1))
         for _ in range(min(ROUNDS, 2 + len(ends))):
@@ -187,7 +242,7 @@ class Field:
 
     def added(self, text: str, base: list[Span]) -> list[Span]:
         """Spans of tokens outside base spans that the field labels, neighbours of a kind joined."""
-        spans = tokens(text)
+        spans = nodes(text, base)
         if not spans or not self.index:
             return []
         known = observed(spans, base)
@@ -222,20 +277,23 @@ def train(texts: list[str], steps: int = 150, rate: float = 0.3, ridge: float =
     """Weights by pseudo-likelihood: each label given its features and the labels at its edges."""
     rows, labels, context = [], [], []
     for text in texts:
-        spans = tokens(text)
-        if not spans:
-            continue
-        known = observed(spans, base_spans(text))
-        ends, kind = edges(text, spans)
-        start = len(labels)
-        rows += features(text, spans)
-        labels += known.tolist()
-        near = np.zeros((len(spans), 4, NONE + 1))  # chain before, chain after, skip before, skip after
-        for (a, b), e in zip(ends.tolist(), kind.tolist()):
-            near[b, 2 * e, known[a]] += 1
-            near[a, 2 * e + 1, known[b]] += 1
-        context.append(near)
-        assert start + len(spans) == len(labels)
+        base = base_spans(text)
+        alone, joined = tokens(text), nodes(text, base)
+        # Both as joined nodes and as tokens: a mention that no pattern finds is read by token.
+        for spans in (joined, alone) if alone != joined else (joined,):
+            if not spans:
+                continue
+            known = observed(spans, base)
+            ends, kind, strength = edges(text, spans, known)
+            start = len(labels)
+            rows += features(text, spans)
+            labels += known.tolist()
+            near = np.zeros((len(spans), 4, NONE + 1))  # chain before, chain after, skip before, skip after
+            for (a, b), e, w in zip(ends.tolist(), kind.tolist(), strength.tolist()):
+                near[b, 2 * e, known[a]] += w
+                near[a, 2 * e + 1, known[b]] += w
+            context.append(near)
+            assert start + len(spans) == len(labels)
     if not labels or set(labels) == {NONE}:
         return Field({}, np.zeros((0, NONE + 1)), np.zeros((2, NONE + 1, NONE + 1)))
     times: dict[str, int] = {}

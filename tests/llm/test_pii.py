@@ -68,3 +68,22 @@ def test_query_columns(spark):
     assert [g[1:5] for g in got if g[0] in (2, 3)] == [(0, 0, 0, 0)] * 2
     assert sorted(str(r.text) for r in pii.redact(df, field).collect())[1] == "<EMAIL>"
     assert pii.find(df.limit(0), pii.fit(df.limit(0))).count() == 0
+
+
+def test_mentions_in_groups_are_linked():
+    texts = _texts()
+    for i in range(120):
+        card = next(f"4{i:03d} 1111 2222 {n:04d}" for n in range(1000, 1100) if pii.luhn(f"4{i:03d}11112222{n:04d}"))
+        texts[i] += f" pay by {card} or ring +44 20 {7000 + i} {1000 + 13 * i} today" + (f" and {card} too" if i % 3 == 0 else "")
+    field = pii.train(texts)
+    for mention, again, kind in (
+        ("4111 1111 1111 1111", "4111.1111.1111.1111", "card"),
+        ("+44 20 7946 0958", "44-20-7946-0958", "phone"),
+        ("+44 20 7946 0958", "020 7946 0958", "phone"),
+        ("+44 20 7946 0958", "44 20 7946 0958", "phone"),
+    ):
+        text = f"first {mention} here. " + "word " * 300 + f"then {again} later, room 12 of 40"
+        base = pii.base_spans(text)
+        assert [k for k, _, _ in base] == [kind]
+        added = field.added(text, base)
+        assert [(k, text[i:j]) for k, i, j in added] == [(kind, again)], again
