@@ -245,8 +245,9 @@ def fit(df: DataFrame, labels: DataFrame, given: tuple[str, ...] = ()) -> Model:
     barred = set(given)
     if words:
         w = F.split(F.trim("name"), " ")
-        lists = F.array(*[F.lit(x.strip()) for x in words[:2000]])
-        clean = counts.where("kind = 2 AND c >= 3 AND c >= 3 * t").where(F.array_contains(lists, w[0]) | F.array_contains(lists, w[1]))
+        known = F.broadcast(df.sparkSession.createDataFrame([(x.strip(),) for x in words], "entry string"))  # at most ENTRIES words
+        clean = counts.where("kind = 2 AND c >= 3 AND c >= 3 * t").select("name", "c", F.explode(F.array_distinct(F.array(w[0], w[1]))).alias("entry"))
+        clean = clean.join(known, "entry", "left_semi").groupBy("name").agg(F.max("c").alias("c"))
         barred |= {r["name"] for r in clean.orderBy(F.desc("c"), "name").limit(ENTRIES).collect()}
     model = Model(weights, frozenset(fold(x) for x in barred), usable=True)
     sent = df.sparkSession.sparkContext.broadcast(model)  # at most 2 * ENTRIES entries

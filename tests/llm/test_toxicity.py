@@ -34,3 +34,15 @@ def test_edges(spark):
     none = toxicity.fit(df, marks.limit(0))
     assert {r.score for r in toxicity.score(df, none).collect()} == {0.0}
     assert toxicity.score(df.limit(0), model).count() == 0
+
+
+def test_exceptions_of_the_whole_lexicon(spark):
+    # 2,100 entries seen in more toxic texts than the last one, which has an exception phrase in clean texts.
+    many = " ".join(f"{chr(97 + i // 676)}{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}" for i in range(2100))
+    rows = [(i, f"{many} {i}") for i in range(30)] + [(100 + i, f"zorn {i}") for i in range(8)]
+    rows += [(200 + i, f"nice day {i}") for i in range(300)] + [(600 + i, f"zorn valley {i}") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i < 200)) for i, _ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(df, marks)
+    assert " zorn " in model.weights and sum(x.endswith(" ") for x in model.weights) > 2000
+    assert " zorn valley " in model.exceptions
