@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import unicodedata
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,15 +22,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir; one of this machine only where that is unset and the session has no other machines."""
+    if found := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-"))
+    return spark.sparkContext.getCheckpointDir()
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut lineage through the shared folder of spark.checkpoint.dir; a temporary folder only where it is unset."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-"))
+    """Cut lineage through the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """df as a Parquet table in the shared folder: smaller than a checkpoint, and its columns can be pruned."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def fold_of(doc_id) -> F.Column:
     """crc32 of the id's decimal text modulo 4; fold 2 is held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4

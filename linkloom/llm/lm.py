@@ -1,17 +1,23 @@
 """Masked pseudo-likelihood by a bidirectional window network, trained and applied in numpy.
 
 Tokens are words.  All words of the corpus are counted in Spark; the most frequent ones
-are tokens of their own, every other word falls into one of OTHERS buckets by its hash.  The network
+are tokens of their own, every other word belongs to one of OTHERS buckets by its hash.  The network
 predicts each token from the SIDE tokens on either side (the token itself is masked): embeddings by
 position are summed, squashed, and a two-level softmax (CLASSES frequency classes, then the class's members) gives the
-conditional probability.  A document's score is the sum of its tokens' log-probabilities.
+conditional probability.  A word of a bucket has a third level: its share of the bucket's occurrences in the whole corpus,
+those of the scored document itself masked, smoothed by PRIOR for each word.  A document's score is the sum of its tokens'
+log-probabilities.
 
-Training takes every distinct text of the corpus, so it grows with the input.  Shards of about SHARD documents are trained apart from the same start; their
-weights are averaged, by tokens, in two streamed steps whose memory does not grow; PASSES times.
+Training takes every row of the corpus once, copies included, so it grows with the input: ROUNDS rounds over disjoint
+parts of the rows (by a hash of the text).  In a round each partition of the input trains a network of its own from the
+common start as it is read; the weights are averaged, by tokens, in two streamed steps whose memory does not grow.
 
-Edge cases: null and empty texts, and texts without words, have no tokens, sum 0 and null mean; a text of
-one word has an empty context; equal texts train once; repeated rows are scored each by itself; an empty corpus gives the
-uniform network; other columns are ignored.
+The counts of rare words are not broadcast: documents are scored in chunks of about CHUNK tokens, the distinct rare
+words of a chunk are joined to the corpus counts, and both meet again in a task of that bounded size.
+
+Edge cases: null and empty texts, and texts without words, have no tokens, sum 0 and a null mean; a text of
+one word has an empty context; texts of any length are read whole, in time linear in their length; repeated rows train and are
+scored each by itself; null ids stay null; an empty corpus gives the uniform network; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,38 +26,47 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import batches_of, checkpoint, groups_of, mix, values, word_hashes
+from linkloom.llm.common import batches_of, checkpoint, groups_of, values, word_hashes, written
 
 CLASSES, MEMBERS, OTHERS = 64, 64, 512
 SIZE = CLASSES * MEMBERS
 SIDE, WIDTH = 2, 16
-#: One distinct text of RATE trains: all of them.
-RATE, SHARD, PASSES = 1, 2048, 2
-STEP, BATCH = 0.4, 1024
+ROUNDS, STEP, BATCH = 2, 0.1, 16384
+#: Occurrences that a rare word has besides those counted.
+PRIOR = 0.1
 #: Parts that the weights are cut into while they are averaged.
 PARTS = 32
-#: Tokens scored at a time.
-SCORED = 1 << 15
+#: Tokens scored at a time, tokens that batches are drawn from, and tokens of a chunk of documents.
+SCORED, DRAWN, CHUNK = 1 << 14, 1 << 18, 1 << 20
 
 
 class Vocabulary:
-    """The most frequent words, most frequent first, and how often all tokens occur."""
+    """The most frequent words, most frequent first; how often all tokens occur, and the distinct words of each bucket."""
 
-    def __init__(self, frequent: np.ndarray, counts: np.ndarray):
-        self.order = np.argsort(frequent)
-        self.known = frequent[self.order]
+    def __init__(self, frequent: np.ndarray, counts: np.ndarray, kinds: np.ndarray | None = None):
+        self.order = np.argsort(frequent).astype(np.uint16)
+        self.known = np.sort(frequent)
         self.counts = counts
+        self.kinds = np.zeros(OTHERS) if kinds is None else kinds
 
     def ids(self, words: np.ndarray) -> np.ndarray:
-        out = (SIZE - OTHERS + (mix(words) % np.uint64(OTHERS))).astype(np.int64)
+        out = ((words >> np.uint64(20)) & np.uint64(OTHERS - 1)).astype(np.uint16) + np.uint16(SIZE - OTHERS)
         if len(self.known):
-            at = np.minimum(np.searchsorted(self.known, words), len(self.known) - 1)
-            out = np.where(self.known[at] == words, self.order[at], out)
+            at = np.searchsorted(self.known, words)
+            at[at == len(self.known)] = 0
+            np.copyto(out, self.order[at], where=self.known[at] == words)
         return out
 
+    def rare(self, words: np.ndarray, own: np.ndarray, corpus: np.ndarray) -> np.ndarray:
+        """Log-probabilities of a document's distinct rare words (own: their occurrences in it) inside their buckets; corpus: in all documents."""
+        bucket = ((words >> np.uint64(20)) & np.uint64(OTHERS - 1)).astype(np.int64)
+        others = self.counts[SIZE - OTHERS :][bucket] - np.bincount(bucket, own, OTHERS)[bucket]
+        return np.log((np.maximum(0, corpus - own) + PRIOR) / (np.maximum(0, others) + PRIOR * (self.kinds[bucket] + 1)))
+
 
 class Network:
     """context: an embedding for each position and token (the last row: outside); outer and inner softmax."""
@@ -66,6 +81,7 @@ class Network:
         own = counts.reshape(CLASSES, MEMBERS) + 0.1
         self.outer_bias = np.log(own.sum(axis=1) / own.sum()).astype(np.float32)
         self.inner_bias = np.log(own / own.sum(axis=1, keepdims=True)).astype(np.float32)
+        self.seen = {n: np.full((x := getattr(self, n)).shape[: x.ndim - (not n.endswith("bias"))], 1e-6, np.float32) for n in self.names}
 
     def flat(self) -> np.ndarray:
         return np.concatenate([getattr(self, n).ravel() for n in self.names])
@@ -81,73 +97,93 @@ class Network:
     def hidden(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         total = self.context[0][padded[at]]
         for j in range(1, 2 * SIDE):
-            total = total + self.context[j][padded[at + j + (j >= SIDE)]]
-        return np.tanh(total)
+            total += self.context[j][padded[at + j + (j >= SIDE)]]
+        return np.tanh(total, out=total)
 
     @staticmethod
-    def _log(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+    def _level(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(logits, their exponentials, sums of those), a column for each row of h."""
+        x = weights @ h.T
+        x += bias[:, None]
+        x -= x.max(axis=0)
+        e = np.exp(x)
+        return x, e, e.sum(axis=0)
 
     @staticmethod
-    def _soft(x: np.ndarray) -> np.ndarray:
-        e = np.exp(x - x.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+    def by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """An order by token, and where each class begins in it."""
+        order = np.argsort(target, kind="stable")
+        return order, np.searchsorted(target[order], np.arange(CLASSES + 1) * MEMBERS)
 
     def log_probabilities(self, padded: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Of the tokens padded[at + SIDE], given those around them."""
-        target = padded[at + SIDE]
+        order, cuts = self.by_class(padded[at + SIDE])
+        at = at[order]
+        target = padded[at + SIDE].astype(np.int64)
         h = self.hidden(padded, at)
-        group = target // MEMBERS
-        out = np.take_along_axis(self._log(h @ self.outer.T + self.outer_bias), group[:, None], 1)[:, 0]
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        x, _, total = self._level(self.outer, self.outer_bias, h)
+        found = x[target // MEMBERS, np.arange(len(at))] - np.log(total)
         for g in range(CLASSES):
-            i = order[cuts[g] : cuts[g + 1]]
-            if len(i):
-                own = self._log(h[i] @ self.inner[g].T + self.inner_bias[g])
-                out[i] += own[np.arange(len(i)), target[i] % MEMBERS]
+            i, j = cuts[g], cuts[g + 1]
+            if i < j:
+                x, _, total = self._level(self.inner[g], self.inner_bias[g], h[i:j])
+                found[i:j] += x[target[i:j] % MEMBERS, np.arange(j - i)] - np.log(total)
+        out = np.empty(len(at))
+        out[order] = found
         return out
 
     def step(self, padded: np.ndarray, at: np.ndarray, rate: float) -> None:
-        """One step of gradient descent on the tokens padded[at + SIDE]."""
-        target = padded[at + SIDE]
+        """One Adagrad step on the tokens padded[at + SIDE]; a row of weights shares its pace."""
+        order, cuts = self.by_class(padded[at + SIDE])
+        at = at[order]
+        target = padded[at + SIDE].astype(np.int64)
         h = self.hidden(padded, at)
-        group = target // MEMBERS
-        miss = self._soft(h @ self.outer.T + self.outer_bias)
-        miss[np.arange(len(at)), group] -= 1
-        back = miss @ self.outer
-        pace = rate / len(at)
-        self.outer -= pace * 8 * (miss.T @ h)
-        self.outer_bias -= pace * miss.sum(axis=0)
-        order = np.argsort(group, kind="stable")
-        cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
+        _, miss, total = self._level(self.outer, self.outer_bias, h)
+        miss /= total
+        miss[target // MEMBERS, np.arange(len(at))] -= 1
+        back = miss.T @ self.outer
+        self._descend("outer", ..., miss @ h, rate)
+        self._descend("outer_bias", ..., miss.sum(axis=1), rate)
         for g in range(CLASSES):
-            i = order[cuts[g] : cuts[g + 1]]
-            if len(i):
-                own = self._soft(h[i] @ self.inner[g].T + self.inner_bias[g])
-                own[np.arange(len(i)), target[i] % MEMBERS] -= 1
-                back[i] += own @ self.inner[g]
-                self.inner[g] -= pace * 8 * (own.T @ h[i])
-                self.inner_bias[g] -= pace * own.sum(axis=0)
-        back *= 1 - h * h
+            i, j = cuts[g], cuts[g + 1]
+            if i < j:
+                _, own, total = self._level(self.inner[g], self.inner_bias[g], h[i:j])
+                own /= total
+                own[target[i:j] % MEMBERS, np.arange(j - i)] -= 1
+                back[i:j] += own.T @ self.inner[g]
+                self._descend("inner", g, own @ h[i:j], rate)
+                self._descend("inner_bias", g, own.sum(axis=1), rate)
+        h *= h
+        back *= 1 - h
         for j in range(2 * SIDE):
-            np.subtract.at(self.context[j], padded[at + j + (j >= SIDE)], pace * 64 * back)
+            token = padded[at + j + (j >= SIDE)]
+            order = np.argsort(token, kind="stable")
+            token = token[order]
+            first = np.flatnonzero(np.diff(token, prepend=np.uint16(0xFFFF)))
+            self._descend("context", (j, token[first]), np.add.reduceat(back[order], first, axis=0), rate)
+
+    def _descend(self, name: str, at, slope: np.ndarray, rate: float) -> None:
+        seen = self.seen[name]
+        if name.endswith("bias"):
+            seen[at] += slope * slope
+            getattr(self, name)[at] -= rate * slope / np.sqrt(seen[at])
+        else:
+            seen[at] += np.einsum("ij,ij->i", slope, slope) / WIDTH
+            getattr(self, name)[at] -= slope * (rate / np.sqrt(seen[at]))[:, None]
 
 
 def pad(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Texts in a row with SIDE outside tokens around each; where each token's window starts; tokens of each text."""
     length = np.array([len(x) for x in ids], np.int64)
-    padded = np.full(int(length.sum()) + SIDE * (len(ids) + 1), SIZE, np.int64)
-    starts = np.concatenate(([0], np.cumsum(length + SIDE)[:-1])) if len(ids) else np.zeros(0, np.int64)
-    at = np.repeat(starts - np.concatenate(([0], np.cumsum(length)[:-1])), length) + np.arange(length.sum()) if len(ids) else np.zeros(0, np.int64)
+    padded = np.full(int(length.sum()) + SIDE * (len(ids) + 1), SIZE, np.uint16)
+    at = np.arange(length.sum()) + np.repeat(SIDE * np.arange(len(ids)), length)
     if len(at):
         padded[at + SIDE] = np.concatenate(ids)
     return padded, at, length
 
 
 def score_texts(net: Network, ids: list[np.ndarray]) -> np.ndarray:
-    """The summed log-probabilities of each text."""
+    """The summed log-probabilities of each text's tokens; a rare word counts as its bucket."""
     padded, at, length = pad(ids)
     out = np.zeros(len(ids))
     which = np.repeat(np.arange(len(ids)), length)
@@ -157,43 +193,52 @@ def score_texts(net: Network, ids: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def vocabulary(df: DataFrame) -> Vocabulary:
-    """Counts every word of every text."""
+def learn_texts(net: Network, ids: list[np.ndarray], rate: float = STEP) -> int:
+    """Trains on every token of the texts once, each batch drawn from all of them; the number of tokens."""
+    padded, at, _ = pad(ids)
+    batches = max(1, round(len(at) / BATCH))
+    for j in range(batches if len(at) else 0):
+        net.step(padded, at[j::batches], rate)
+    return len(at)
+
+
+def bucket_of(h: F.Column) -> F.Column:
+    return F.shiftrightunsigned(h, 20).bitwiseAND(F.lit(OTHERS - 1))
+
+
+def count_words(df: DataFrame) -> DataFrame:
+    """h, n: how often every word occurs in all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i in range(0, b.num_rows, 2000):
-                found = [word_hashes(t) for t in values(b.column(0).slice(i, 2000))]
+            for i in range(0, b.num_rows, 4000):
+                found = [word_hashes(t) for t in values(b.column(0).slice(i, 4000))]
                 h, n = np.unique(np.concatenate(found), return_counts=True)
                 if len(h):
                     yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
 
-    words = checkpoint(df.where("text IS NOT NULL").select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
-    top = words.orderBy(F.desc("n"), "h").limit(SIZE - OTHERS)
-    rows = top.collect()
+    return checkpoint(df.where("text IS NOT NULL").select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
+
+
+def vocabulary(counted: DataFrame) -> Vocabulary:
+    """Of count_words(); only the frequent words and a row for each bucket come to the driver."""
+    rows = counted.orderBy(F.desc("n"), "h").limit(SIZE - OTHERS).collect()
     frequent = np.array([r["h"] for r in rows], np.int64).view(np.uint64)
-    counts = np.zeros(SIZE)
+    counts, kinds = np.zeros(SIZE), np.zeros(OTHERS)
     counts[: len(rows)] = [r["n"] for r in rows]
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    counts[SIZE - OTHERS :] = max(0, total - counts.sum()) / OTHERS
-    return Vocabulary(frequent, counts)
+    if rows:
+        known = F.broadcast(counted.sparkSession.createDataFrame([(r["h"],) for r in rows], "h long"))  # at most SIZE words
+        rest = counted.join(known, "h", "left_anti").groupBy(bucket_of(F.col("h")).alias("b")).agg(F.sum("n").alias("n"), F.count("*").alias("kinds"))
+        for r in rest.collect():
+            counts[SIZE - OTHERS + r["b"]], kinds[r["b"]] = r["n"], r["kinds"]
+    return Vocabulary(frequent, counts, kinds)
 
 
 def train(df: DataFrame, words: Vocabulary) -> Network:
+    """The network of all texts, copies included."""
     spark = df.sparkSession
     net = Network(words.counts)
-    texts = df.where("text IS NOT NULL").select(F.xxhash64("text").alias("h"), "text").where(F.pmod("h", F.lit(RATE)) == 0)
-    shards = max(1, -(-texts.select("h").distinct().count() // SHARD))
-    coder = spark.sparkContext.broadcast(words)  # at most SIZE words
-
-    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Tokens as two bytes each: a third of the text to move and keep.
-        for b in batches:
-            ids = [coder.value.ids(word_hashes(t)).astype("<u2").tobytes() for t in values(b.column(1))]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["h", "ids"])
-
-    rows = texts.mapInArrow(code, "h long, ids binary").dropDuplicates(["h"])
-    dealt = checkpoint(rows.repartition(shards, F.xxhash64("h", F.lit(5))).sortWithinPartitions("h"))
+    texts = df.where("text IS NOT NULL").select("text")
     schema = pa.schema([("part", pa.int32()), ("shard", pa.int64()), ("weight", pa.float64()), ("data", pa.binary())])
     ddl = "part int, shard long, weight double, data binary"
 
@@ -209,30 +254,29 @@ def train(df: DataFrame, words: Vocabulary) -> Network:
 
         yield from batches_of(out(), schema)
 
-    for turn in range(PASSES):
+    for turn in range(ROUNDS):
         sent = spark.sparkContext.broadcast((words, net.flat()))  # a fixed number of weights
-        rate = STEP / (1 + turn)
 
-        def learn(batches: Iterator[pa.RecordBatch], sent=sent, rate=rate) -> Iterator[pa.RecordBatch]:
+        def learn(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             words, flat = sent.value
             own = Network(words.counts).load(flat)
-            seen, first = 0, None
+            seen, held, size = 0, [], 0
             for b in batches:
-                for i in range(0, b.num_rows, 64):
-                    hs = b.column(0).slice(i, 64)
-                    first = hs[0].as_py() if first is None and len(hs) else first
-                    padded, at, _ = pad([np.frombuffer(t, "<u2").astype(np.int64) for t in values(b.column(1).slice(i, 64))])
-                    at = at[np.argsort(mix(at.astype(np.uint64)), kind="stable")]
-                    for j in range(0, len(at), BATCH):
-                        own.step(padded, at[j : j + BATCH], rate)
-                    seen += len(at)
+                for text in values(b.column(0)):
+                    held.append(words.ids(word_hashes(text)))
+                    size += len(held[-1])
+                    if size >= DRAWN:
+                        seen += learn_texts(own, held)
+                        held, size = [], 0
+            seen += learn_texts(own, held)
             if seen:
                 flat = own.flat()
                 step = -(-len(flat) // PARTS)
-                yield from batches_of(((p, first & 0xFFFF, float(seen), flat[p * step : (p + 1) * step].tobytes()) for p in range(PARTS)), schema)
+                at = TaskContext.get().partitionId()
+                yield from batches_of(((p, at, float(seen), flat[p * step : (p + 1) * step].tobytes()) for p in range(PARTS)), schema)
 
-        learned = dealt.mapInArrow(learn, ddl)
-        for fold in (64, 1):  # many shards, then few, then one
+        learned = texts.where(F.pmod(F.xxhash64("text"), F.lit(ROUNDS)) == turn).mapInArrow(learn, ddl)
+        for fold in (64, 1):  # many networks, then few, then one
             learned = learned.withColumn("shard", F.pmod("shard", F.lit(fold))).repartition("part", "shard").sortWithinPartitions("part", "shard").mapInArrow(average, ddl)
         got = learned.collect()
         if got:
@@ -240,21 +284,86 @@ def train(df: DataFrame, words: Vocabulary) -> Network:
     return net
 
 
-def score(df: DataFrame, words: Vocabulary, net: Network) -> DataFrame:
-    """doc_id, n_tokens, log_prob, mean_log_prob for every row of doc_id, text."""
+_HELD = pa.schema([
+    ("chunk", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("n_rare", pa.int64()),
+    ("rare", pa.binary()), ("own", pa.binary()), ("every", pa.list_(pa.int64())),
+])
+_OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("mean_log_prob", pa.float64()), ("n_rare", pa.int64()), ("rare_log_prob", pa.float64()), ("n_unseen", pa.int64())])
+
+
+def score(df: DataFrame, words: Vocabulary, net: Network, counted: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, log_prob, mean_log_prob, n_rare, rare_log_prob, n_unseen for every row of doc_id, text.
+
+    n_rare: tokens outside the frequent words; rare_log_prob: the part of log_prob that their third level has; n_unseen: those
+    of them whose word no other row of the corpus holds, so that the masked level has nothing but its prior.
+    """
     sent = df.sparkSession.sparkContext.broadcast((words, net))  # a fixed number of weights
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, net = sent.value
+        chunk = TaskContext.get().partitionId() << 32
+
+        def rows(ids: list, found: list[np.ndarray]) -> Iterator[tuple]:
+            coded = [words.ids(w) for w in found]
+            total = score_texts(net, coded)
+            every = []
+            for doc_id, w, own, s in zip(ids, found, coded, total.tolist()):
+                rare, times = np.unique(w[own >= SIZE - OTHERS], return_counts=True)
+                every.append(rare)
+                yield chunk, doc_id, len(own), s, int(times.sum()), rare.tobytes(), times.astype("<u4").tobytes(), None
+            yield chunk, None, None, None, None, None, None, np.unique(np.concatenate(every)).view(np.int64).tolist()
 
         def out() -> Iterator[tuple]:
+            nonlocal chunk
+            ids, found, size = [], [], 0
             for b in batches:
-                for i in range(0, b.num_rows, 64):
-                    ids = [words.ids(word_hashes(t)) for t in values(b.column(1).slice(i, 64))]
-                    total = score_texts(net, ids)
-                    for doc_id, own, s in zip(values(b.column(0).slice(i, 64)), ids, total.tolist()):
-                        yield doc_id, len(own), s, s / len(own) if len(own) else None
-
-        yield from batches_of(out(), pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("mean_log_prob", pa.float64())]))
+                for doc_id, text in zip(values(b.column(0)), values(b.column(1))):
+                    ids.append(doc_id)
+                    found.append(word_hashes(text))
+                    size += len(found[-1])
+                    if size >= CHUNK:
+                        yield from rows(ids, found)
+                        chunk += 1
+                        ids, found, size = [], [], 0
+            if ids:
+                yield from rows(ids, found)
+
+        yield from batches_of(out(), _HELD)
+
+    held = written(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "chunk long, doc_id long, n_tokens long, log_prob double, n_rare long, rare binary, own binary, every array<long>"))
+    asked = held.where("every IS NOT NULL").select("chunk", F.explode("every").alias("h"))
+    # A row for each distinct rare word of a chunk, then the chunk's documents.
+    told = asked.join(counted, "h").select("chunk", F.lit(0).alias("kind"), "h", "n", *(F.lit(None).cast(k).alias(c) for c, k in (("doc_id", "long"), ("log_prob", "double"), ("n_rare", "long"), ("rare", "binary"), ("own", "binary"))))
+    docs = held.where("every IS NULL").select("chunk", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("h"), F.col("n_tokens").alias("n"), "doc_id", "log_prob", "n_rare", "rare", "own")
+    dealt = told.unionByName(docs).repartition("chunk").sortWithinPartitions("chunk", "kind")
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, _ = sent.value
 
-    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+        def out() -> Iterator[tuple]:
+            at, known, known_n, parts = None, None, None, []
+            for b in batches:
+                chunk, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
+                cuts = [0, *(np.flatnonzero((np.diff(chunk) != 0) | (np.diff(kind) != 0)) + 1).tolist(), len(chunk)]
+                for i, j in zip(cuts, cuts[1:]):
+                    if i == j:
+                        continue
+                    if chunk[i] != at:
+                        at, known, parts = chunk[i], None, []
+                    if kind[i] == 0:
+                        parts.append((b.column(2).slice(i, j - i).to_numpy().view(np.uint64), b.column(3).slice(i, j - i).to_numpy()))
+                        continue
+                    if known is None:
+                        known, known_n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(1, np.uint64), np.zeros(1, np.int64))
+                        order = np.argsort(known)
+                        known, known_n = known[order], known_n[order]
+                    for n, doc_id, s, n_rare, rare, own in zip(*(values(b.column(c).slice(i, j - i)) for c in range(3, 9))):
+                        rare, own = np.frombuffer(rare, np.uint64), np.frombuffer(own, "<u4")
+                        place = np.minimum(np.searchsorted(known, rare), len(known) - 1)
+                        corpus = np.where(known[place] == rare, known_n[place], 0)
+                        more = float(words.rare(rare, own, corpus) @ own) if n_rare else 0.0
+                        yield doc_id, n, s + more, (s + more) / n if n else None, n_rare, more, int(own[corpus <= own].sum())
+
+        yield from batches_of(out(), _OUT)
+
+    return dealt.mapInArrow(finish, "doc_id long, n_tokens long, log_prob double, mean_log_prob double, n_rare long, rare_log_prob double, n_unseen long")

@@ -20,8 +20,9 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    words = lm.vocabulary(docs)
-    return lm.score(docs, words, lm.train(docs, words))
+    counted = lm.count_words(docs)
+    words = lm.vocabulary(counted)
+    return lm.score(docs, words, lm.train(docs, words), counted)
 
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
