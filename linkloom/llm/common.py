@@ -137,14 +137,17 @@ def word_hashes(text: str | None) -> np.ndarray:
     cps = code_points((text or "").lower())
     if not len(cps):
         return np.zeros(0, np.uint64)
-    inside = word_table()[cps]
-    edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+    inside = np.zeros(len(cps) + 2, bool)
+    np.take(word_table(), cps, out=inside[1:-1])
+    edge = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edge[::2], edge[1::2]
     if not len(starts):
         return np.zeros(0, np.uint64)
     up, down = powers(len(cps) + 1)
     total = np.zeros(len(cps) + 1, np.uint64)
-    np.cumsum((cps.astype(np.uint64) + np.uint64(1)) * up[: len(cps)], out=total[1:])
+    cps = cps + np.uint32(1)
+    np.multiply(cps, up[: len(cps)], out=total[1:])
+    np.cumsum(total, out=total)
     h = (total[ends] - total[starts]) * down[starts]
     return mix(h + (ends - starts).astype(np.uint64))
 

@@ -30,35 +30,50 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import batches_of, checkpoint, groups_of, values, word_hashes, written
+from linkloom.llm.common import batches_of, checkpoint, groups_of, mix, values, word_hashes, written
 
 CLASSES, MEMBERS, OTHERS = 64, 64, 512
 SIZE = CLASSES * MEMBERS
 SIDE, WIDTH = 2, 16
-ROUNDS, STEP, BATCH = 2, 0.1, 16384
+ROUNDS, STEP, BATCH = 2, 0.1, 32768
 #: Occurrences that a rare word has besides those counted.
 PRIOR = 0.1
 #: Parts that the weights are cut into while they are averaged.
 PARTS = 32
 #: Tokens scored at a time, tokens that batches are drawn from, and tokens of a chunk of documents.
-SCORED, DRAWN, CHUNK = 1 << 14, 1 << 18, 1 << 20
+SCORED, DRAWN, CHUNK = 1 << 15, 1 << 18, 1 << 22
+#: Rows of a softmax computed at a time.
+CACHED = 1024
+
+
+def _place(words: np.ndarray, table: int) -> np.ndarray:
+    return (words if not table else mix(words + np.uint64(table))).astype(np.uint16)
 
 
 class Vocabulary:
     """The most frequent words, most frequent first; how often all tokens occur, and the distinct words of each bucket."""
 
     def __init__(self, frequent: np.ndarray, counts: np.ndarray, kinds: np.ndarray | None = None):
-        self.order = np.argsort(frequent).astype(np.uint16)
-        self.known = np.sort(frequent)
         self.counts = counts
         self.kinds = np.zeros(OTHERS) if kinds is None else kinds
+        # Tables by 16 bits of the word each; a word whose place is taken goes to the next table.
+        self.tables: list[tuple[np.ndarray, np.ndarray]] = []
+        rest = np.arange(len(frequent))
+        while len(rest):
+            place = _place(frequent[rest], len(self.tables))
+            _, first = np.unique(place, return_index=True)
+            held, token = np.zeros(1 << 16, np.uint64), np.full(1 << 16, -1, np.int32)
+            held[place[first]], token[place[first]] = frequent[rest[first]], rest[first]
+            self.tables.append((held, token))
+            rest = np.delete(rest, first)
 
     def ids(self, words: np.ndarray) -> np.ndarray:
         out = ((words >> np.uint64(20)) & np.uint64(OTHERS - 1)).astype(np.uint16) + np.uint16(SIZE - OTHERS)
-        if len(self.known):
-            at = np.searchsorted(self.known, words)
-            at[at == len(self.known)] = 0
-            np.copyto(out, self.order[at], where=self.known[at] == words)
+        for i, (held, token) in enumerate(self.tables):
+            place = _place(words, i)
+            hit = np.flatnonzero(held[place] == words)
+            token = token[place[hit]]
+            out[hit[token >= 0]] = token[token >= 0]
         return out
 
     def rare(self, words: np.ndarray, own: np.ndarray, corpus: np.ndarray) -> np.ndarray:
@@ -101,13 +116,33 @@ class Network:
         return np.tanh(total, out=total)
 
     @staticmethod
-    def _level(weights: np.ndarray, bias: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(logits, their exponentials, sums of those), a column for each row of h."""
-        x = weights @ h.T
-        x += bias[:, None]
-        x -= x.max(axis=0)
-        e = np.exp(x)
-        return x, e, e.sum(axis=0)
+    def _logs(weights: np.ndarray, bias: np.ndarray, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """Log-probabilities of a softmax's targets, a part of the rows of h at a time that fits a processor's cache."""
+        out = np.empty(len(h))
+        for i in range(0, len(h), CACHED):
+            own = target[i : i + CACHED]
+            x = weights @ h[i : i + CACHED].T
+            x += bias[:, None]
+            x -= x.max(axis=0)
+            out[i : i + CACHED] = x[own, np.arange(len(own))] - np.log(np.exp(x, out=x).sum(axis=0)) if len(own) else 0
+        return out
+
+    @staticmethod
+    def _slopes(weights: np.ndarray, bias: np.ndarray, h: np.ndarray, target: np.ndarray, back: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Slopes of a softmax's loss by weights and bias; those by h are added to back."""
+        by_weights, by_bias = np.zeros_like(weights), np.zeros_like(bias)
+        for i in range(0, len(h), CACHED):
+            own, part = target[i : i + CACHED], h[i : i + CACHED]
+            x = weights @ part.T
+            x += bias[:, None]
+            x -= x.max(axis=0)
+            np.exp(x, out=x)
+            x /= x.sum(axis=0)
+            x[own, np.arange(len(own))] -= 1
+            back[i : i + CACHED] += x.T @ weights
+            by_weights += x @ part
+            by_bias += x.sum(axis=1)
+        return by_weights, by_bias
 
     @staticmethod
     def by_class(target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -121,13 +156,11 @@ class Network:
         at = at[order]
         target = padded[at + SIDE].astype(np.int64)
         h = self.hidden(padded, at)
-        x, _, total = self._level(self.outer, self.outer_bias, h)
-        found = x[target // MEMBERS, np.arange(len(at))] - np.log(total)
+        found = self._logs(self.outer, self.outer_bias, h, target // MEMBERS)
         for g in range(CLASSES):
             i, j = cuts[g], cuts[g + 1]
             if i < j:
-                x, _, total = self._level(self.inner[g], self.inner_bias[g], h[i:j])
-                found[i:j] += x[target[i:j] % MEMBERS, np.arange(j - i)] - np.log(total)
+                found[i:j] += self._logs(self.inner[g], self.inner_bias[g], h[i:j], target[i:j] % MEMBERS)
         out = np.empty(len(at))
         out[order] = found
         return out
@@ -138,21 +171,16 @@ class Network:
         at = at[order]
         target = padded[at + SIDE].astype(np.int64)
         h = self.hidden(padded, at)
-        _, miss, total = self._level(self.outer, self.outer_bias, h)
-        miss /= total
-        miss[target // MEMBERS, np.arange(len(at))] -= 1
-        back = miss.T @ self.outer
-        self._descend("outer", ..., miss @ h, rate)
-        self._descend("outer_bias", ..., miss.sum(axis=1), rate)
+        back = np.zeros_like(h)
+        by_weights, by_bias = self._slopes(self.outer, self.outer_bias, h, target // MEMBERS, back)
+        self._descend("outer", ..., by_weights, rate)
+        self._descend("outer_bias", ..., by_bias, rate)
         for g in range(CLASSES):
             i, j = cuts[g], cuts[g + 1]
             if i < j:
-                _, own, total = self._level(self.inner[g], self.inner_bias[g], h[i:j])
-                own /= total
-                own[target[i:j] % MEMBERS, np.arange(j - i)] -= 1
-                back[i:j] += own.T @ self.inner[g]
-                self._descend("inner", g, own @ h[i:j], rate)
-                self._descend("inner_bias", g, own.sum(axis=1), rate)
+                by_weights, by_bias = self._slopes(self.inner[g], self.inner_bias[g], h[i:j], target[i:j] % MEMBERS, back[i:j])
+                self._descend("inner", g, by_weights, rate)
+                self._descend("inner_bias", g, by_bias, rate)
         h *= h
         back *= 1 - h
         for j in range(2 * SIDE):
