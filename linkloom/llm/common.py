@@ -5,12 +5,13 @@ from __future__ import annotations
 import tempfile
 import unicodedata
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MASK = (1 << 64) - 1
 #: Odd multiplier of the rolling polynomial, and its inverse modulo 2**64.
@@ -51,6 +52,33 @@ def fold_of(doc_id) -> F.Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 4
 
 
+def named(columns: Iterable[str]) -> list[F.Column]:
+    """Columns by their whole names, dots included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in columns]
+
+
+def fresh(name: str, taken: Iterable[str]) -> str:
+    """A name like the one given that none of those taken equals, whatever the case."""
+    low = {c.lower() for c in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
+def map_rows(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], more: Iterable[T.StructField] = ()) -> DataFrame:
+    """df.mapInArrow(run) to df's own columns, whatever their names, and more; run must go by places."""
+    names, more = df.columns, list(more)
+    plain = df.toDF(*(f"c{i}" for i in range(len(names))))
+    kept = [T.StructField(f"c{i}", f.dataType) for i, f in enumerate(df.schema.fields)]
+    added = [T.StructField(f"m{i}", f.dataType) for i, f in enumerate(more)]
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in run(batches):
+            yield pa.RecordBatch.from_arrays(b.columns, [f.name for f in (*kept, *added)])
+
+    return plain.mapInArrow(placed, T.StructType([*kept, *added])).toDF(*names, *(f.name for f in more))
+
+
 def values(column: pa.ChunkedArray | pa.Array) -> Iterator:
     for x in column:
         yield x.as_py()
@@ -134,22 +162,44 @@ def code_points(text: str) -> np.ndarray:
 
 def word_hashes(text: str | None) -> np.ndarray:
     """A 64-bit hash for each word of the lower-cased text, in order; words are runs of word_table() code points."""
-    cps = code_points((text or "").lower())
-    if not len(cps):
-        return np.zeros(0, np.uint64)
+    return next(hashed([text]))
+
+
+#: Characters hashed at a time.
+HASHED = 1 << 16
+
+
+def hashed(texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+    """word_hashes() of each text; short texts are hashed together."""
+    held: list[str] = []
+    size = 0
+    for text in texts:
+        low = (text or "").lower()
+        if held and size + len(low) > HASHED:
+            yield from _hash(held)
+            held, size = [], 0
+        held.append(low)
+        size += len(low) + 1
+    if held:
+        yield from _hash(held)
+
+
+def _hash(texts: list[str]) -> Iterator[np.ndarray]:
+    cps = code_points(" ".join(texts))
     inside = np.zeros(len(cps) + 2, bool)
     np.take(word_table(), cps, out=inside[1:-1])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edge[::2], edge[1::2]
-    if not len(starts):
-        return np.zeros(0, np.uint64)
     up, down = powers(len(cps) + 1)
     total = np.zeros(len(cps) + 1, np.uint64)
-    cps = cps + np.uint32(1)
-    np.multiply(cps, up[: len(cps)], out=total[1:])
+    np.multiply(cps + np.uint32(1), up[: len(cps)], out=total[1:])
     np.cumsum(total, out=total)
-    h = (total[ends] - total[starts]) * down[starts]
-    return mix(h + (ends - starts).astype(np.uint64))
+    h = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    at = 0
+    cuts = np.searchsorted(starts, np.cumsum([len(t) + 1 for t in texts])).tolist()
+    for cut in cuts:
+        yield h[at:cut]
+        at = cut
 
 
 #: Odd multipliers that keep the place of a word in its shingle.

@@ -13,7 +13,8 @@ parts of the rows (by a hash of the text).  In a round each partition of the inp
 common start as it is read; the weights are averaged, by tokens, in two streamed steps whose memory does not grow.
 
 The counts of rare words are not broadcast: documents are scored in chunks of about CHUNK tokens, the distinct rare
-words of a chunk are joined to the corpus counts, and both meet again in a task of that bounded size.
+words of a chunk are sent to the parts of the corpus counts that hold them (of about PART words each), and the answers meet the chunk again in a task of
+that bounded size.
 
 Edge cases: null and empty texts, and texts without words, have no tokens, sum 0 and a null mean; a text of
 one word has an empty context; texts of any length are read whole, in time linear in their length; repeated rows train and are
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import batches_of, checkpoint, groups_of, mix, values, word_hashes, written
+from linkloom.llm.common import batches_of, checkpoint, groups_of, hashed, mix, values, written
 
 CLASSES, MEMBERS, OTHERS = 64, 64, 512
 SIZE = CLASSES * MEMBERS
@@ -42,6 +43,8 @@ PRIOR = 0.1
 PARTS = 32
 #: Tokens scored at a time, tokens that batches are drawn from, and tokens of a chunk of documents.
 SCORED, DRAWN, CHUNK = 1 << 15, 1 << 18, 1 << 22
+#: Counted words of a part, and parts at least.
+PART, LEAST_PARTS = 1 << 19, 32
 #: Rows of a softmax computed at a time.
 CACHED = 1024
 
@@ -238,12 +241,22 @@ def count_words(df: DataFrame) -> DataFrame:
     """h, n: how often every word occurs in all texts."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+
         for b in batches:
-            for i in range(0, b.num_rows, 4000):
-                found = [word_hashes(t) for t in values(b.column(0).slice(i, 4000))]
-                h, n = np.unique(np.concatenate(found), return_counts=True)
-                if len(h):
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
+            for own in hashed(values(b.column(0))):
+                held.append(own)
+                size += len(own)
+                if size >= CHUNK:
+                    yield out()
+                    held, size = [], 0
+        if size:
+            yield out()
 
     return checkpoint(df.where("text IS NOT NULL").select("text").mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")))
 
@@ -290,8 +303,8 @@ def train(df: DataFrame, words: Vocabulary) -> Network:
             own = Network(words.counts).load(flat)
             seen, held, size = 0, [], 0
             for b in batches:
-                for text in values(b.column(0)):
-                    held.append(words.ids(word_hashes(text)))
+                for own_words in hashed(values(b.column(0))):
+                    held.append(words.ids(own_words))
                     size += len(held[-1])
                     if size >= DRAWN:
                         seen += learn_texts(own, held)
@@ -314,11 +327,15 @@ def train(df: DataFrame, words: Vocabulary) -> Network:
 
 _HELD = pa.schema([
     ("chunk", pa.int64()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("n_rare", pa.int64()),
-    ("rare", pa.binary()), ("own", pa.binary()), ("every", pa.list_(pa.int64())),
+    ("rare", pa.binary()), ("own", pa.binary()), ("part", pa.int64()), ("asked", pa.binary()),
 ])
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("log_prob", pa.float64()), ("mean_log_prob", pa.float64()), ("n_rare", pa.int64()), ("rare_log_prob", pa.float64()), ("n_unseen", pa.int64())])
 
 
+def part_of(words: np.ndarray, parts: int) -> np.ndarray:
+    return ((words >> np.uint64(32)) % np.uint64(parts)).astype(np.int64)
+
+
 def score(df: DataFrame, words: Vocabulary, net: Network, counted: DataFrame) -> DataFrame:
     """doc_id, n_tokens, log_prob, mean_log_prob, n_rare, rare_log_prob, n_unseen for every row of doc_id, text.
 
@@ -326,6 +343,9 @@ def score(df: DataFrame, words: Vocabulary, net: Network, counted: DataFrame) ->
     of them whose word no other row of the corpus holds, so that the masked level has nothing but its prior.
     """
     sent = df.sparkSession.sparkContext.broadcast((words, net))  # a fixed number of weights
+    # The counted words lie in parts of about PART; a chunk sends each part its own words at once.  Words counted once need no answer.
+    again = counted.where("n > 1")
+    parts = max(LEAST_PARTS, -(-again.count() // PART))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, net = sent.value
@@ -338,17 +358,23 @@ def score(df: DataFrame, words: Vocabulary, net: Network, counted: DataFrame) ->
             for doc_id, w, own, s in zip(ids, found, coded, total.tolist()):
                 rare, times = np.unique(w[own >= SIZE - OTHERS], return_counts=True)
                 every.append(rare)
-                yield chunk, doc_id, len(own), s, int(times.sum()), rare.tobytes(), times.astype("<u4").tobytes(), None
-            yield chunk, None, None, None, None, None, None, np.unique(np.concatenate(every)).view(np.int64).tolist()
+                yield chunk, doc_id, len(own), s, int(times.sum()), rare.tobytes(), times.astype("<u4").tobytes(), None, None
+            asked = np.unique(np.concatenate(every))
+            part = part_of(asked, parts)
+            order = np.argsort(part, kind="stable")
+            asked, part = asked[order], part[order]
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=-1))
+            for i, j in zip(cuts[:-1], cuts[1:]):
+                yield chunk, None, None, None, None, None, None, int(part[i]), asked[i:j].tobytes()
 
         def out() -> Iterator[tuple]:
             nonlocal chunk
             ids, found, size = [], [], 0
             for b in batches:
-                for doc_id, text in zip(values(b.column(0)), values(b.column(1))):
+                for doc_id, own in zip(values(b.column(0)), hashed(values(b.column(1)))):
                     ids.append(doc_id)
-                    found.append(word_hashes(text))
-                    size += len(found[-1])
+                    found.append(own)
+                    size += len(own)
                     if size >= CHUNK:
                         yield from rows(ids, found)
                         chunk += 1
@@ -358,40 +384,73 @@ def score(df: DataFrame, words: Vocabulary, net: Network, counted: DataFrame) ->
 
         yield from batches_of(out(), _HELD)
 
-    held = written(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "chunk long, doc_id long, n_tokens long, log_prob double, n_rare long, rare binary, own binary, every array<long>"))
-    asked = held.where("every IS NOT NULL").select("chunk", F.explode("every").alias("h"))
-    # A row for each distinct rare word of a chunk, then the chunk's documents.
-    told = asked.join(counted, "h").select("chunk", F.lit(0).alias("kind"), "h", "n", *(F.lit(None).cast(k).alias(c) for c, k in (("doc_id", "long"), ("log_prob", "double"), ("n_rare", "long"), ("rare", "binary"), ("own", "binary"))))
-    docs = held.where("every IS NULL").select("chunk", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("h"), F.col("n_tokens").alias("n"), "doc_id", "log_prob", "n_rare", "rare", "own")
+    held = written(df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "chunk long, doc_id long, n_tokens long, log_prob double, n_rare long, rare binary, own binary, part long, asked binary"))
+    none = lambda kind, *names: [F.lit(None).cast(kind).alias(c) for c in names]
+    known = again.select(F.pmod(F.shiftrightunsigned("h", 32), F.lit(parts)).alias("part"), F.lit(0).alias("kind"), "h", "n", *none("long", "chunk"), *none("binary", "asked"))
+    asking = held.where("asked IS NOT NULL").select("part", F.lit(1).alias("kind"), *none("long", "h", "n"), "chunk", "asked")
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[tuple]:
+            at, table = None, None
+            for (part, kind), got in _runs(batches, 0, 1):
+                if kind == 0:
+                    found, times = zip(*((b.column(2).to_numpy(), b.column(3).to_numpy()) for b in got))
+                    found, times = np.concatenate(found).view(np.uint64), np.concatenate(times)
+                    order = np.argsort(found)
+                    at, table = part, (found[order], times[order])
+                    continue
+                for b in got if part == at else ():
+                    for chunk, data in zip(values(b.column(4)), values(b.column(5))):
+                        asked = np.frombuffer(data, np.uint64)
+                        at = np.minimum(np.searchsorted(table[0], asked), len(table[0]) - 1)
+                        hit = table[0][at] == asked
+                        yield chunk, asked[hit].tobytes(), table[1][at[hit]].astype(np.int64).tobytes()
+
+        yield from batches_of(out(), pa.schema([("chunk", pa.int64()), ("h", pa.binary()), ("n", pa.binary())]))
+
+    told = known.unionByName(asking).repartition("part").sortWithinPartitions("part", "kind").mapInArrow(answer, "chunk long, h binary, n binary")
+    told = told.select("chunk", F.lit(0).alias("kind"), *none("long", "doc_id", "n_tokens"), *none("double", "log_prob"), *none("long", "n_rare"), F.col("h").alias("rare"), F.col("n").alias("own"))
+    docs = held.where("asked IS NULL").select("chunk", F.lit(1).alias("kind"), "doc_id", "n_tokens", "log_prob", "n_rare", "rare", "own")
     dealt = told.unionByName(docs).repartition("chunk").sortWithinPartitions("chunk", "kind")
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, _ = sent.value
 
         def out() -> Iterator[tuple]:
-            at, known, known_n, parts = None, None, None, []
-            for b in batches:
-                chunk, kind = b.column(0).to_numpy(), b.column(1).to_numpy()
-                cuts = [0, *(np.flatnonzero((np.diff(chunk) != 0) | (np.diff(kind) != 0)) + 1).tolist(), len(chunk)]
-                for i, j in zip(cuts, cuts[1:]):
-                    if i == j:
-                        continue
-                    if chunk[i] != at:
-                        at, known, parts = chunk[i], None, []
-                    if kind[i] == 0:
-                        parts.append((b.column(2).slice(i, j - i).to_numpy().view(np.uint64), b.column(3).slice(i, j - i).to_numpy()))
-                        continue
-                    if known is None:
-                        known, known_n = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(1, np.uint64), np.zeros(1, np.int64))
-                        order = np.argsort(known)
-                        known, known_n = known[order], known_n[order]
-                    for n, doc_id, s, n_rare, rare, own in zip(*(values(b.column(c).slice(i, j - i)) for c in range(3, 9))):
+            at, table = None, None
+            for (chunk, kind), got in _runs(batches, 0, 1):
+                if kind == 0:
+                    got = [x for b in got for x in zip(values(b.column(6)), values(b.column(7)))]
+                    found, times = (np.concatenate([np.frombuffer(x[c], k) for x in got]) for c, k in ((0, np.uint64), (1, np.int64)))
+                    order = np.argsort(found)
+                    at, table = chunk, (found[order], times[order])
+                    continue
+                if chunk != at or not len(table[0]):
+                    at, table = chunk, (np.zeros(1, np.uint64), np.ones(1, np.int64))
+                for b in got:
+                    for doc_id, n, s, n_rare, rare, own in zip(*(values(b.column(c)) for c in range(2, 8))):
                         rare, own = np.frombuffer(rare, np.uint64), np.frombuffer(own, "<u4")
-                        place = np.minimum(np.searchsorted(known, rare), len(known) - 1)
-                        corpus = np.where(known[place] == rare, known_n[place], 0)
+                        place = np.minimum(np.searchsorted(table[0], rare), len(table[0]) - 1)
+                        corpus = np.where(table[0][place] == rare, table[1][place], 1)
                         more = float(words.rare(rare, own, corpus) @ own) if n_rare else 0.0
                         yield doc_id, n, s + more, (s + more) / n if n else None, n_rare, more, int(own[corpus <= own].sum())
 
         yield from batches_of(out(), _OUT)
 
     return dealt.mapInArrow(finish, "doc_id long, n_tokens long, log_prob double, mean_log_prob double, n_rare long, rare_log_prob double, n_unseen long")
+
+
+def _runs(batches: Iterator[pa.RecordBatch], *columns: int) -> Iterator[tuple[tuple, Iterator[pa.RecordBatch]]]:
+    """Consecutive rows of equal whole numbers in the columns, as streamed batches."""
+    from itertools import groupby
+
+    def parts() -> Iterator[tuple[tuple, pa.RecordBatch]]:
+        for b in batches:
+            keys = [b.column(c).to_numpy() for c in columns]
+            cuts = [0, *(np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1).tolist(), b.num_rows]
+            for i, j in zip(cuts, cuts[1:]):
+                if i < j:
+                    yield tuple(int(k[i]) for k in keys), b.slice(i, j - i)
+
+    for key, own in groupby(parts(), key=lambda p: p[0]):
+        yield key, (b for _, b in own)
