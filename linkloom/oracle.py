@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from linkloom import constants as C
-from linkloom.proxies import with_relations
+from linkloom.proxies import EXCLUDED, POPULATIONS, with_relations
 
 
 def q(x: str) -> str:
@@ -61,7 +61,7 @@ def round1(x: str) -> str:
 def universe(flag: str) -> str:
     return f"""FROM entity e JOIN info i ON i.info_id = e.entity_id LEFT JOIN address a ON a.info_id = i.info_id AND a.is_default = 1
  LEFT JOIN state s ON s.state_id = a.state_id {{links}}
- WHERE e.archived = 0 AND i.archived = 0 AND e.{flag} = 1 AND coalesce(trim(e.description), '') NOT IN ('Bulk Import')"""
+ WHERE e.archived = 0 AND i.archived = 0 AND e.{flag} = 1 AND coalesce(trim(e.description), '') NOT IN ({', '.join(map(q, EXCLUDED))})"""
 
 
 COLUMNS = "e.entity_id, e.entity_name, i.info_name, a.address1, a.address2, a.address3, a.city, a.zip, s.state_name"
@@ -86,7 +86,7 @@ def without_id(flag: str) -> str:
 
 def canonical(build) -> str:
     part = lambda i, label, flag: f"SELECT {i} AS ord, entity_id, '{label}' AS population, entity_name AS name1, info_name AS name2, address1 AS addr1, address2 AS addr2, address3 AS addr3, city, state_name AS state, zip, entity_ref_id, link_ref_id FROM ({build(flag)})"
-    return f"""SELECT * FROM ({part(0, 'Client', 'is_client')} UNION ALL {part(1, 'Agency', 'is_agency')})
+    return f"""SELECT * FROM ({' UNION ALL '.join(part(i, label, flag) for i, (label, flag) in enumerate(POPULATIONS))})
  QUALIFY row_number() OVER (PARTITION BY entity_id, population, name1, name2, addr1, addr2, addr3
  ORDER BY ord, entity_ref_id NULLS LAST, link_ref_id NULLS LAST, city NULLS LAST, state NULLS LAST, zip NULLS LAST) = 1"""
 
@@ -95,7 +95,7 @@ ROWS = canonical(with_id)
 ORDER = "ORDER BY " + ", ".join(["ord", *(f"{c} NULLS LAST" for c in ("entity_ref_id", "link_ref_id", "city", "state", "zip", "name1", "name2", "addr1", "addr2", "addr3"))])
 
 
-def pooled() -> str:
+def pooled(rows: str) -> str:
     """Lists by column, then row; distinct by first place."""
     def listed(cols: list[str], blank: bool = False) -> str:
         every = "list_concat(" + ", ".join(f"list({c} {ORDER})" for c in cols) + ")" if len(cols) > 1 else f"list({cols[0]} {ORDER})"
@@ -105,12 +105,16 @@ def pooled() -> str:
     lists = {"names": listed(["name1", "name2"]), "addrs": listed(["addr1", "addr2", "addr3"]), "cities": listed(["city"]), "states": listed(["state"]), "zips": listed(["zip"], True)}
     first = lambda c: f"CAST((list({c} {ORDER}) FILTER (WHERE {c} IS NOT NULL))[1] AS BIGINT) AS {c}"
     return f"""SELECT entity_id, string_agg(DISTINCT population, '|' ORDER BY population) AS populations, count(DISTINCT population)::INT AS n_populations,
- {', '.join(f'{e} AS {k}' for k, e in lists.items())}, {first('entity_ref_id')}, {first('link_ref_id')} FROM ({ROWS}) GROUP BY entity_id"""
+ {', '.join(f'{e} AS {k}' for k, e in lists.items())}, {first('entity_ref_id')}, {first('link_ref_id')} FROM ({rows}) GROUP BY entity_id"""
 
 
-POOL = pooled()
-RESOLVED = f"""SELECT *, coalesce(entity_ref_id, link_ref_id) AS ref_id, CASE WHEN entity_ref_id IS NOT NULL THEN 'entity_ref_id' WHEN link_ref_id IS NOT NULL THEN 'link_ref_id' ELSE 'None' END AS ref_id_source,
- coalesce(entity_ref_id <> link_ref_id, false) AS ref_id_conflict FROM ({POOL})"""
+def resolved(pool: str) -> str:
+    return f"""SELECT *, coalesce(entity_ref_id, link_ref_id) AS ref_id, CASE WHEN entity_ref_id IS NOT NULL THEN 'entity_ref_id' WHEN link_ref_id IS NOT NULL THEN 'link_ref_id' ELSE 'None' END AS ref_id_source,
+ coalesce(entity_ref_id <> link_ref_id, false) AS ref_id_conflict FROM ({pool})"""
+
+
+POOL = pooled(ROWS)
+RESOLVED = resolved(POOL)
 
 SPLIT = f"""SELECT ref_id, entity_type, name, addr1, addr2, city, state, zip, list_transform(regexp_extract_all(coalesce(name, ''), {q(C.ALIAS)}, 1), lambda x: trim(x)) AS named,
  regexp_replace(regexp_replace(coalesce(name, ''), {q(C.ALIAS)}, ' ', 'g'), {q(C.STATUS)}, ' ', 'g') AS rest FROM"""
@@ -127,6 +131,10 @@ LONELY = f"""SELECT ref_id, 'PracticeLocation' AS entity_type, {', '.join(f'arg_
  FROM location WHERE ref_id NOT IN (SELECT ref_id FROM identity) GROUP BY ref_id"""
 KNOWN = identities(f"SELECT ref_id, 'Hospital' AS entity_type, name, addr1, addr2, city, state, zip FROM identity UNION ALL {LONELY}")
 
+_AT = "struct_pack(k := {k}, a := coalesce(name, ''), b := coalesce(addr1, ''), c := coalesce(addr2, ''), d := coalesce(city, ''), e := coalesce(state, ''), f := coalesce(zip, ''))"
+#: The distinct lines of each record's locations, and the first place of each.
+LOCATION_LINES = f"""SELECT ref_id, t, min(o) AS o FROM (SELECT ref_id, addr1 AS t, {_AT.replace('{k}', '1')} AS o FROM location UNION ALL SELECT ref_id, addr2, {_AT.replace('{k}', '2')} FROM location) WHERE trim(t) <> '' GROUP BY ref_id, t"""
+
 LABEL = f"len(list_filter({words('core')}, lambda t: NOT list_contains({words(clean('city'))}, t) AND NOT list_contains([{', '.join(map(q, C.COMPASS))}], t))) = 0"
 NAMED = f"""SELECT ref_id, name, city, core, coalesce(parents, 0) AS parents, (core <> '' AND coalesce(parents, 0) < {C.SHARED_NAME_PARENTS} AND NOT ({LABEL})) AS usable
  FROM (SELECT *, {core(clean('name'))} AS core FROM location WHERE name IS NOT NULL) LEFT JOIN
@@ -199,10 +207,11 @@ ORACLE: dict[str, str] = {
     "verdict": VERDICT,
     "tier": TIER,
     "location_identity": LONELY,
-    "location_index": f"""SELECT ref_id, count(*) AS loc_n, count(DISTINCT CASE WHEN trim(name) <> '' THEN name END) AS n_names,
- len(list_distinct(list_concat(list(CASE WHEN trim(addr1) <> '' THEN addr1 END), list(CASE WHEN trim(addr2) <> '' THEN addr2 END))))::BIGINT AS n_addrs,
+    "location_index": f"""SELECT ref_id, loc_n, coalesce(array_to_string(loc_names[:{C.LOCATION_CAP}], '|'), '') AS loc_names, coalesce(array_to_string(loc_addrs[:{C.LOCATION_CAP}], '|'), '') AS loc_addrs, loc_cities, loc_states, loc_zips FROM (SELECT ref_id, count(*) AS loc_n,
  coalesce(string_agg(DISTINCT nullif({clean('city')}, ''), '|' ORDER BY nullif({clean('city')}, '')), '') AS loc_cities, coalesce(string_agg(DISTINCT nullif({state('state')}, ''), '|' ORDER BY nullif({state('state')}, '')), '') AS loc_states,
- coalesce(string_agg(DISTINCT nullif({zip5('zip')}, ''), '|' ORDER BY nullif({zip5('zip')}, '')), '') AS loc_zips FROM location GROUP BY ref_id""",
+ coalesce(string_agg(DISTINCT nullif({zip5('zip')}, ''), '|' ORDER BY nullif({zip5('zip')}, '')), '') AS loc_zips FROM location GROUP BY ref_id)
+ LEFT JOIN (SELECT ref_id, list(DISTINCT name ORDER BY name) AS loc_names FROM location WHERE trim(name) <> '' GROUP BY ref_id) USING (ref_id)
+ LEFT JOIN (SELECT ref_id, list(t ORDER BY o, t) AS loc_addrs FROM ({LOCATION_LINES}) GROUP BY ref_id) USING (ref_id)""",
     "location_name_filter": NAMED,
     "candidate_states": f"""SELECT DISTINCT ref_id, state FROM (SELECT ref_id, {state('state')} AS state FROM ({KNOWN}) UNION ALL SELECT ref_id, {state('state')} FROM location WHERE ref_id IN (SELECT ref_id FROM ({KNOWN}))) WHERE state <> ''""",
     "search_space": f"""SELECT ref_id, kind, "full", {core('"full"')} AS core FROM ({SPACE})""",
@@ -221,4 +230,10 @@ ORACLE: dict[str, str] = {
     "unverifiable": f"SELECT entity_id, ref_id FROM ({RESOLVED}) WHERE ref_id IS NULL OR ref_id NOT IN (SELECT ref_id FROM ({KNOWN}))",
     "unreferenced_reference": f"SELECT ref_id, entity_type, name FROM ({KNOWN}) WHERE ref_id NOT IN (SELECT ref_id FROM ({RESOLVED}) WHERE ref_id IS NOT NULL)",
 }
-ORACLE = {k: with_relations(v) for k, v in ORACLE.items()}
+
+
+def every() -> dict[str, str]:
+    """All of the audit's oracles, over the relations."""
+    from linkloom import oracle_scores
+
+    return {k: with_relations(v) for k, v in {**ORACLE, **oracle_scores.ORACLE}.items()}

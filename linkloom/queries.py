@@ -8,15 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom import proxies
-from linkloom.constants import ADDRESS_WEIGHTS
+from linkloom.constants import ADDRESS_WEIGHTS, VERDICTS
 from linkloom.functions import fuzzy, normalize, scores
-from linkloom.operators import directory, gap, pool, populations, reports
+from linkloom.operators import accuracy, directory, gap, pool, populations, reports
 from linkloom.plans.audit import Audit
 
-POPULATIONS = (
-    populations.Population("Client", "is_client", excluded=("Bulk Import",)),
-    populations.Population("Agency", "is_agency", excluded=("Bulk Import",)),
-)
+POPULATIONS = tuple(populations.Population(label, flag, excluded=proxies.EXCLUDED) for label, flag in proxies.POPULATIONS)
 
 
 def audit(spark: SparkSession, sf_dir: str) -> Audit:
@@ -121,9 +118,8 @@ def location_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def location_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = directory.location_index(audit(spark, sf_dir).located, cap=1_000_000)
-    sets = ("loc_cities", "loc_states", "loc_zips")
-    return out.select("ref_id", "loc_n", F.size("loc_names").cast("long").alias("n_names"), F.size("loc_addrs").cast("long").alias("n_addrs"), *(F.array_join(c, "|").alias(c) for c in sets))
+    out = directory.location_index(audit(spark, sf_dir).located)
+    return out.withColumns({c: F.array_join(c, "|") for c in ("loc_names", "loc_addrs", "loc_cities", "loc_states", "loc_zips")})
 
 
 def location_name_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,24 +137,46 @@ def search_space(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blocked_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit(spark, sf_dir).retrieved
+    return audit(spark, sf_dir).retrieved.withColumn("stage_a", normalize.round1("stage_a"))
 
 
 def exact_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit(spark, sf_dir).candidates
+    return audit(spark, sf_dir).candidates.withColumns({c: normalize.round1(c) for c in (*accuracy.SCORES, "stage_a")})
 
 
 def accuracy_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(spark, sf_dir).audited
 
 
+def name_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, sf_dir).audited.select("entity_id", "ref_id", "name_score", "matched_name", "matched_ref_name", "matched_via", "matched_words")
+
+
+def addr_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, sf_dir).audited.select("entity_id", "ref_id", "number_score", "body_score", "city_score", "state_score", "zip_score", "address_score", "address_source")
+
+
+def audited_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.distribution(audit(spark, sf_dir).audited, "verdict")
+
+
+def corroborated_by_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = audit(spark, sf_dir)
+    return reports.by_population(a.audited.join(a.entities().select("entity_id", "populations"), "entity_id"), F.col("verdict") == VERDICTS[1], "corroborated")
+
+
+def proposed_tiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.distribution(audit(spark, sf_dir).proposed, "tier")
+
+
 def reverse_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(spark, sf_dir).corrected
 
 
 def gap_proposals(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = audit(spark, sf_dir).proposed
-    return out.withColumns({c: F.array_join(c, " | ") for c in ("names", "cities_n")})
+    lists = {c: F.array_join(c, " | ") for c in ("names", "cities_n")}
+    return out.withColumns(lists | {c: normalize.round1(c) for c in ("stage_a", "alt1_match_score", "alt2_match_score")})
 
 
 def margin_rivals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,8 +216,9 @@ def by_population(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def baseline_gains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Against a run that knows no service locations."""
     a = audit(spark, sf_dir)
-    return reports.gains(a.audited, a.audited.where("entity_id % 2 = 0"))
+    return reports.gains(a.audited, accuracy.audit(a.entities(), a.known, a.located.where("false")))
 
 
 def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +261,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         eval_population, gap_population, population_partition_counts, other_sources_listagg, canonical_union_dedup, pool_entities, resolve_id_conflict, normalised_arrays, street_number_body,
         split_name, indel_ratio, token_sort_ratio, token_set_ratio, pair_score, weighted_score, verdict, tier, location_identity, location_index, location_name_filter, candidate_states,
-        search_space, blocked_topk, exact_scores, accuracy_audit, reverse_lookup, gap_proposals, margin_rivals, exact_name_geo, funnel, outcome_overall, verdict_distribution, tier_distribution,
+        search_space, blocked_topk, exact_scores, accuracy_audit, name_score, addr_scores, audited_verdicts, corroborated_by_population, proposed_tiers, reverse_lookup, gap_proposals, margin_rivals, exact_name_geo, funnel, outcome_overall, verdict_distribution, tier_distribution,
         by_entity_type, by_population, baseline_gains, duplicate_ids, id_conflicts, unverifiable, unreferenced_reference, estate_coverage, load_flags, strong_evidence, population_checks,
     )
 }

@@ -7,10 +7,11 @@ from linkloom.functions.fuzzy import pair_score
 from linkloom.operators import gap, pool, reports
 from linkloom.operators.blocking import best_in_blocks
 from linkloom.operators.directory import candidate_states, location_names, search_space
-from linkloom.oracle import ORACLE
+from linkloom.oracle import every
 from linkloom.queries import QUERIES, audit
 
 SF = "/root/testdata/sf0.001"
+ORACLE = every()
 
 
 def _norm(row):
