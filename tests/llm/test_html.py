@@ -1,3 +1,7 @@
+import random
+import time
+from collections import defaultdict
+
 from linkloom.llm import html
 
 
@@ -51,3 +55,54 @@ def test_templates_of_a_large_host(spark, monkeypatch):
     assert not any("Prices" in r.text for r in few)
     mixed = spark.createDataFrame([(i, f"https://b.example/{i}", f"<table><tr><td>Own {i}</td><td>{'Yes' if i % 6 == 0 else f'No {i}'}</td></tr></table>") for i in range(360)], "page_id long, url string, html string")
     assert sum("Yes" in r.text for r in html.extract(mixed).collect()) == 60
+
+
+def test_marks_are_whole_names():
+    page = """<article><h1>T</h1><p>first</p><div id="search-results">r</div><p class="social-history">s</p><div class="related-work">w</div><p class="notice">n</p>
+    <div class="related-posts">x</div><div class=adBox>x</div><p class="ad">x</p><ol class="comments"><li>c</li></ol><aside>x</aside><footer>x</footer></article><div class="cookie-notice">x</div>"""
+    assert html.text_of(page) == "T\n\nfirst\n\nr\n\ns\n\nw\n\nn"
+    assert html.text_of('<form><div><p>A page inside a form</p></div></form>') == "A page inside a form"
+    assert html.text_of('<body><p>A long enough text of its own</p><form>Name <input></form></body>') == "A long enough text of its own"
+    assert html.text_of("<nav>n<article>teaser</article></nav><div><p>text</p></div>") == "text"
+    assert html.text_of('<head><title>t<body><main><p>x</p></main>') == ""  # an unclosed title holds the rest
+    assert html.text_of('<head><meta a=b><body><p>x</p>') == "x"
+
+
+def test_recurrence_comes_before_names(spark):
+    """Unnamed boilerplate of a host goes, also inside named elements and around articles; the same markup on single pages stays."""
+    rows = []
+    for i in range(12):
+        page = f"<body><div class=top><b>Site of all</b><div><a href=/>Home</a></div></div><article><h1>Title {i}</h1><div><p>Own words {i} of this page</p></div><div>Like us everywhere</div></article><section>Made in {i}</section><div>Same end</div></body>"
+        rows.append((i, f"https://a.example/{i}", page))
+        rows.append((100 + i, f"https://b{i}.example/", page))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.host: set(r.found) for r in html.templates(df).collect()}
+    assert set(found) == {"a.example"} and len(found["a.example"]) == 4
+    got = {r.page_id: r.text for r in html.extract(df).collect()}
+    assert all(got[i] == f"Title {i}\n\nOwn words {i} of this page" for i in range(12))
+    assert all(got[100 + i] == f"Title {i}\n\nOwn words {i} of this page\n\nLike us everywhere" for i in range(12))
+
+
+def test_counts_match_plain_counting(spark):
+    rng = random.Random(4)
+    parts = [f"<div><p>part {k}</p></div>" for k in range(8)]
+    rows = [(i, f"https://h{rng.randrange(2)}.example/{i}", "<body>" + "".join(rng.sample(parts, 3)) + f"<section><p>{rng.randrange(30)}</p></section></body>") for i in range(60)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    seen, pages = defaultdict(set), defaultdict(set)
+    for _, url, page in rows:
+        root = html.parse(page)
+        every = html.hashes(root)
+        text = "\n\n".join(html.blocks(root))
+        pages[url.split("/")[2]].add(text)
+        for h in every:
+            seen[url.split("/")[2], h].add(text)
+    want = {(host, h) for (host, h), own in seen.items() if len(own) >= html.MANY and len(own) >= html.SHARE * len(pages[host])}
+    assert want and {(r.host, h) for r in html.templates(df).collect() for h in r.found} == want
+
+
+def test_time_is_linear():
+    for page in ("<b>{n}</i>", "<i><td>{n}", "<nav>{n}</p>", "<article>{n}", "<p><b>{n}", "<ul><li>{n}</li>"):
+        head, tail = page.split("{n}")
+        began = time.time()
+        html.text_of(head * 40_000 + tail * 40_000)
+        assert time.time() - began < 8
