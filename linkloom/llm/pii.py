@@ -1,42 +1,48 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Base spans come from four patterns.  The field's nodes are the white-space tokens that
-hold a digit or an @; the tokens of one base span are one node, and so are neighbouring tokens
-that together repeat the digits of one.  Its labels are the four kinds and none.  Chain edges join neighbouring tokens, skip
-edges join each token to the last one before it, at any distance, with the same digits (its last DIGITS)
-or the same address.  Weights are learned in numpy by pseudo-likelihood from the base labels of a
-bounded sample (SAMPLE rows that hold candidates, by a hash of the text).  In a document, tokens of base
-spans are observed; loopy belief propagation over both kinds of edges labels the others, so that a
+hold a digit, an @ or a spelled-out one (`(at)`); the tokens of one base span are one node, and so are neighbouring tokens
+that together repeat the digits of one.  Its labels are the four kinds and none.  Chain edges join neighbouring tokens.  Skip
+edges join, at any distance, repeated tokens (the same last DIGITS digits, or the same address however its signs are written), and
+similar ones (as many digits and the same first STEM of them, the same first three numbers of an IP address, or the same name before the @): each token to
+the last one before it, and to the nearest observed one on either side.  Weights are learned in numpy by pseudo-likelihood from the base labels of a
+bounded sample: SAMPLE runs of at most RUN nodes, from whole texts that hold candidates, the ones of smallest hash.  In a document, tokens of base
+spans are observed; loopy belief propagation over all edges labels the others, so that a
 mention in another notation takes the label of the mentions it repeats.  Tokens whose
 belief in a kind reaches BELIEF add spans; base spans always stay.
 
 Edge cases: null and empty texts have no spans; texts of any length are read whole, in time
-linear in their length; repeated rows and null ids are kept, each row by itself; without candidates in the sample the field adds
-nothing; other columns are ignored.
+linear in their length; repeated rows and null ids are kept, each row by itself; ties of hash are ordered by the run itself; without candidates in the sample, or
+in an empty table, the field adds nothing; other columns are ignored (redact keeps them as they are).
 """
 
 from __future__ import annotations
 
+import pickle
 import re
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from os.path import commonprefix
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import batches_of, values
+from linkloom.llm.common import batches_of, map_rows, values
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
-SAMPLE, SHAPES, DIGITS, BELIEF, ROUNDS = 4000, 400, 7, 0.8, 12
-#: Where the prior of a skip edge's weight lies if both tokens are of one kind; data without repeats leave it there.
-AGREE = 3.0
+SAMPLE, RUN, SHAPES, DIGITS, STEM, BELIEF, ROUNDS = 4000, 256, 400, 7, 6, 0.8, 100
+#: Kinds of edges, and where the priors of the weights of two tokens of one kind lie; data without repeats leave them there.
+CHAIN, REPEAT, SIMILAR = 0, 1, 2
+AGREE = (0.0, 3.0, 1.0)
 #: Digits of a card or phone at most, and leading ones that a repeat may write in another way.
 LONGEST, TRUNK = 19, 2
+#: Tokens of more characters have one shape.
+LONG = 64
 
 Span = tuple[str, int, int]
 
@@ -47,7 +53,9 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _NUMERIC = re.compile(r"[(\[+]{0,2}[0-9][0-9().+/_\]-]{0,40}[,;:!?]?")
-_TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
+_TOKEN = re.compile(r"(?<!\S)(?:[^\s0-9@(\[{]|[(\[{](?!at[)\]}]))*+(?:[0-9@]|[(\[{]at[)\]}])\S*")
+_AT = re.compile(r"[(\[{]at[)\]}]", re.I)
+_DOT = re.compile(r"[(\[{]dot[)\]}]", re.I)
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
@@ -98,7 +106,7 @@ def base_spans(text: str) -> list[Span]:
 
 
 def tokens(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in _TOKEN.finditer(text)] if "@" in text or _DIGIT.search(text) else []
+    return [m.span() for m in _TOKEN.finditer(text)] if "@" in text or _DIGIT.search(text) or _AT.search(text) else []
 
 
 def nodes(text: str, base: list[Span]) -> list[tuple[int, int]]:
@@ -109,7 +117,7 @@ def nodes(text: str, base: list[Span]) -> list[tuple[int, int]]:
     starts, ends = [i for i, _ in spans], [j for _, j in spans]
     last = list(range(len(spans)))  # the last token of the node that begins at a token
     inside = [False] * len(spans)
-    mentions: dict[str, list[str]] = {}
+    endings: set[str] = set()  # of all mentions' digits
     for kind, i, j in base:
         low, high = bisect_right(ends, i), bisect_left(starts, j) - 1
         if low > high:
@@ -118,16 +126,14 @@ def nodes(text: str, base: list[Span]) -> list[tuple[int, int]]:
         inside[low : high + 1] = [True] * (high + 1 - low)
         if kind in ("card", "phone"):
             digits = "".join(_DIGIT.findall(text[i:j]))
-            same = mentions.setdefault(digits[-DIGITS:], [])
-            if digits not in same and len(same) < 8:
-                same.append(digits)
+            endings.update(digits[n:] for n in range(len(digits) - DIGITS + 1))
     k = len(spans) - 1
-    while mentions and k >= 0:
+    while endings and k >= 0:
         first, joined = k, ""
         found = k
         while first >= 0 and not inside[first] and len(joined) <= LONGEST and (first == k or starts[first + 1] - ends[first] == 1) and _NUMERIC.fullmatch(text, *spans[first]):
             joined = "".join(_DIGIT.findall(text[starts[first] : ends[first]])) + joined
-            if any(len(commonprefix((joined[::-1], d[::-1]))) >= max(DIGITS, len(joined) - TRUNK) for d in mentions.get(joined[-DIGITS:], ())):
+            if any(joined[n:] in endings for n in range(TRUNK + 1)):
                 found = first
             first -= 1
         last[found] = max(last[found], k)
@@ -144,17 +150,27 @@ def nodes(text: str, base: list[Span]) -> list[tuple[int, int]]:
 
 
 def shape(token: str) -> str:
-    """Digits as 0, runs of letters as a, of other characters as they are; 24 characters at most."""
-    token = re.sub(r"[^\W\d_]+", "a", token[:64])
-    return re.sub(r"[0-9]", "0", token)[:24]
-
-
-def key_of(token: str) -> str | None:
-    """What repeated or similar tokens share."""
-    if "@" in token:
-        return token.strip(".,;:()<>[]\"'").lower()
+    """Digits as 0, runs of letters as a, spelled-out signs of addresses as those signs, other characters as they are; tokens of over LONG characters are alike."""
+    if len(token) > LONG:
+        return "long"
+    if "@" not in token:
+        token = _DOT.sub(".", _AT.sub("@", token))
+    return re.sub(r"[0-9]", "0", re.sub(r"[^\W\d_]+", "a", token))
+
+
+def keys_of(token: str) -> tuple[str | None, str | None, str]:
+    """What repeated tokens share, what similar ones share, and the last digits, last first."""
+    plain = _AT.sub("@", token)
+    if "@" in plain:
+        address = _DOT.sub(".", plain).strip(".,;:()<>[]{}\"'").lower()
+        name = re.sub(r"[^a-z0-9]", "", address.partition("@")[0])
+        return address, "@" + name if len(name) > 3 else None, ""
     digits = "".join(_DIGIT.findall(token))
-    return digits[-DIGITS:] if len(digits) >= DIGITS else None
+    if m := _IP.search(token):
+        return digits[-DIGITS:] if len(digits) >= DIGITS else None, ".".join(m.groups()[:3]), digits[: -2 * LONGEST : -1]
+    if len(digits) < DIGITS:
+        return None, None, ""
+    return digits[-DIGITS:], f"{len(digits)}:{digits[:STEM]}", digits[: -2 * LONGEST : -1]
 
 
 def features(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
@@ -168,35 +184,48 @@ def features(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
 
 
 def edges(text: str, spans: list[tuple[int, int]], known: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs of nodes, earlier first, the kind of each edge (0 chain, 1 skip), and its strength: of a skip edge to an
-    observed mention, shared last digits in DIGITS; neighbours of the list that aren't observed have none."""
-    out, kind, strength = [], [], []
-    last: dict[str, tuple[int, str]] = {}
-    for k, (i, j) in enumerate(spans):
-        if k and i - spans[k - 1][1] <= 1:
-            out.append((k - 1, k))
-            kind.append(0)
-            strength.append(1.0)
-        if (key := key_of(text[i:j])) is not None:
-            digits = "".join(_DIGIT.findall(text[i:j]))[: -2 * LONGEST : -1]
+    """Pairs of nodes, earlier first, the kind of each edge, and its strength: of repeated digits where one is
+    observed, shared last digits in DIGITS; unobserved neighbours of the list have no skip edge."""
+    found: dict[tuple[int, int], tuple[int, float]] = {}
+    all_keys = [keys_of(text[i:j]) for i, j in spans]
+    seen = (known != NONE).tolist()
+
+    def join(a: int, b: int, kind: int) -> None:
+        observed_ = seen[a] or seen[b]
+        if (a, b) in found or not observed_ and b - a == 1:
+            return
+        digits = kind == REPEAT and observed_ and "@" not in (all_keys[a][0] or "")
+        found[a, b] = kind, min(LONGEST, len(commonprefix((all_keys[a][2], all_keys[b][2])))) / DIGITS if digits else 1.0
+
+    for kind, at in ((REPEAT, 0), (SIMILAR, 1)):
+        last: dict[str, int] = {}
+        mark: dict[str, int] = {}  # the last observed one
+        waiting: dict[str, list[int]] = {}  # those before the first observed one
+        for k, own in enumerate(all_keys):
+            if (key := own[at]) is None:
+                continue
             if key in last:
-                at, before = last[key]
-                seen = known[at] != NONE or known[k] != NONE
-                if seen or at != k - 1:
-                    out.append((at, k))
-                    kind.append(1)
-                    strength.append(1.0 if "@" in key or not seen else min(LONGEST, len(commonprefix((digits, before)))) / DIGITS)
-            last[key] = k, digits
-    return np.array(out, np.int64).reshape(-1, 2), np.array(kind, np.int64), np.array(strength)
+                join(last[key], k, kind)
+            if seen[k]:
+                for w in waiting.pop(key, ()):
+                    join(w, k, kind)
+                mark[key] = k
+            elif key in mark:
+                join(mark[key], k, kind)
+            else:
+                waiting.setdefault(key, []).append(k)
+            last[key] = k
+    chain = [(k - 1, k) for k in range(1, len(spans)) if spans[k][0] - spans[k - 1][1] <= 1]
+    out = np.array([*chain, *found], np.int64).reshape(-1, 2)
+    return out, np.array([CHAIN] * len(chain) + [k for k, _ in found.values()], np.int64), np.array([1.0] * len(chain) + [s for _, s in found.values()])
 
 
 def observed(spans: list[tuple[int, int]], base: list[Span]) -> np.ndarray:
     """The label of each token: the kind of the first base span that overlaps it, else NONE."""
     out = np.full(len(spans), NONE)
+    starts, ends = [i for i, _ in spans], [j for _, j in spans]
     for kind, i, j in reversed(base):
-        starts = np.array([s for s, _ in spans])
-        ends = np.array([e for _, e in spans])
-        out[(starts < j) & (ends > i)] = KINDS.index(kind)
+        out[bisect_right(ends, i) : bisect_left(starts, j)] = KINDS.index(kind)
     return out
 
 
@@ -222,7 +251,7 @@ class Field:
         pair = np.exp(self.pair[kind] * strength[:, None, None])
         right = np.zeros((len(ends), NONE + 1))  # message to the later node
         left = np.zeros((len(ends), NONE + 1))
-        for _ in range(min(ROUNDS, 2 + len(ends))):
+        for _ in range(ROUNDS):
             belief = unary.copy()
             np.add.at(belief, ends[:, 1], right)
             np.add.at(belief, ends[:, 0], left)
@@ -234,7 +263,7 @@ class Field:
             new_left -= new_left.max(axis=1, keepdims=True)
             moved = max(np.abs(new_right - right).max(), np.abs(new_left - left).max())
             right, left = 0.5 * (right + new_right), 0.5 * (left + new_left)
-            if moved < 1e-3:
+            if moved < 1e-4:
                 break
         np.add.at(unary, ends[:, 1], right)
         np.add.at(unary, ends[:, 0], left)
@@ -273,29 +302,42 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
-def train(texts: list[str], steps: int = 150, rate: float = 0.3, ridge: float = 1e-3) -> Field:
+#: A run of nodes: features and labels of each, and edges inside it.
+Example = tuple[list[list[str]], list[int], np.ndarray, np.ndarray, np.ndarray]
+
+
+def examples(text: str) -> Iterator[Example]:
+    """The text's nodes with their base labels, in runs of RUN."""
+    base = base_spans(text)
+    alone, joined = tokens(text), nodes(text, base)
+    # Both as joined nodes and as tokens: a mention that no pattern finds is read by token.
+    for spans in (joined, alone) if alone != joined else (joined,):
+        if not spans:
+            continue
+        known, own = observed(spans, base), features(text, spans)
+        ends, kind, strength = edges(text, spans, known)
+        order = np.argsort(ends[:, 1], kind="stable")
+        ends, kind, strength = ends[order], kind[order], strength[order]
+        for i in range(0, len(spans), RUN):
+            part = slice(*np.searchsorted(ends[:, 1], (i, i + RUN)))
+            both = ends[part, 0] >= i
+            yield own[i : i + RUN], known[i : i + RUN].tolist(), ends[part][both] - i, kind[part][both], strength[part][both]
+
+
+def train(found: Iterable[Example], steps: int = 150, rate: float = 0.3, ridge: float = 1e-3) -> Field:
     """Weights by pseudo-likelihood: each label given its features and the labels at its edges."""
     rows, labels, context = [], [], []
-    for text in texts:
-        base = base_spans(text)
-        alone, joined = tokens(text), nodes(text, base)
-        # Both as joined nodes and as tokens: a mention that no pattern finds is read by token.
-        for spans in (joined, alone) if alone != joined else (joined,):
-            if not spans:
-                continue
-            known = observed(spans, base)
-            ends, kind, strength = edges(text, spans, known)
-            start = len(labels)
-            rows += features(text, spans)
-            labels += known.tolist()
-            near = np.zeros((len(spans), 4, NONE + 1))  # chain before, chain after, skip before, skip after
-            for (a, b), e, w in zip(ends.tolist(), kind.tolist(), strength.tolist()):
-                near[b, 2 * e, known[a]] += w
-                near[a, 2 * e + 1, known[b]] += w
-            context.append(near)
-            assert start + len(spans) == len(labels)
+    kinds = len(AGREE)
+    for own, known, ends, kind, strength in found:
+        rows += own
+        labels += known
+        near = np.zeros((len(own), 2 * kinds, NONE + 1))  # by kind of edge: before, after
+        for (a, b), e, w in zip(ends.tolist(), kind.tolist(), strength.tolist()):
+            near[b, 2 * e, known[a]] += w
+            near[a, 2 * e + 1, known[b]] += w
+        context.append(near)
     if not labels or set(labels) == {NONE}:
-        return Field({}, np.zeros((0, NONE + 1)), np.zeros((2, NONE + 1, NONE + 1)))
+        return Field({}, np.zeros((0, NONE + 1)), np.zeros((kinds, NONE + 1, NONE + 1)))
     times: dict[str, int] = {}
     for own in rows:
         for f in own:
@@ -307,21 +349,22 @@ def train(texts: list[str], steps: int = 150, rate: float = 0.3, ridge: float =
     near = np.concatenate(context)
     want = np.eye(NONE + 1)[labels]
     unary = np.zeros((len(index), NONE + 1))
-    prior = np.zeros((2, NONE + 1, NONE + 1))
-    prior[1, range(NONE), range(NONE)] = AGREE
+    prior = np.zeros((kinds, NONE + 1, NONE + 1))
+    for e, w in enumerate(AGREE):
+        prior[e, range(NONE), range(NONE)] = w
     pair = prior.copy()
     sums = [np.full_like(unary, 1e-8), np.full_like(pair, 1e-8)]
     n = len(labels)
     for _ in range(steps):
         score = np.zeros((n, NONE + 1))
         np.add.at(score, node, unary[column])
-        for e in (0, 1):
+        for e in range(kinds):
             score += near[:, 2 * e] @ pair[e] + near[:, 2 * e + 1] @ pair[e].T
         miss = (want - _softmax(score)) / n
         grad = np.zeros_like(unary)
         np.add.at(grad, column, miss[node])
         grad -= ridge * unary / n
-        slope = np.stack([near[:, 2 * e].T @ miss + miss.T @ near[:, 2 * e + 1] for e in (0, 1)]) - ridge * (pair - prior) / n
+        slope = np.stack([near[:, 2 * e].T @ miss + miss.T @ near[:, 2 * e + 1] for e in range(kinds)]) - ridge * (pair - prior) / n
         for w, g, s in ((unary, grad, sums[0]), (pair, slope, sums[1])):
             s += g * g
             w += rate * g / np.sqrt(s)
@@ -329,29 +372,27 @@ def train(texts: list[str], steps: int = 150, rate: float = 0.3, ridge: float =
 
 
 def fit(df: DataFrame) -> Field:
-    """The field of the rows of text, from at most SAMPLE of those that hold candidates."""
+    """The field of the rows of text: the SAMPLE runs of smallest hash among those of about SAMPLE texts that hold candidates."""
     rows = df.where("text IS NOT NULL").select("text", F.xxhash64("text").alias("h")).where(F.col("text").rlike("[0-9@]"))
     n = rows.count()
     if not n:
         return train([])
     rate = min(1.0, SAMPLE / n)
-    got = rows.where(F.pmod("h", F.lit(1 << 30)) < int(rate * (1 << 30)) + 1).select(F.col("text")).limit(2 * SAMPLE)
+    got = rows.where(F.pmod("h", F.lit(1 << 30)) <= int(rate * (1 << 30))).select("text")
 
-    def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Only the neighbourhoods of candidates go to the driver: the rest of a text has no part in training.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Only features of nodes go to the driver, of bounded length each.
         def out() -> Iterator[tuple]:
             for b in batches:
                 for text in values(b.column(0)):
-                    spans = tokens(text)[:200]
-                    parts, last = [], 0
-                    for i, j in spans:
-                        parts.append((" " if i - last <= 1 else " _ _ ") + text[i : min(j, i + 64)])
-                        last = j
-                    yield ("".join(parts),)
+                    for own in examples(text):
+                        data = pickle.dumps(own)
+                        yield xxhash.xxh64_intdigest(data) >> 1, data
 
-        yield from batches_of(out(), pa.schema([("text", pa.string())]))
+        yield from batches_of(out(), pa.schema([("h", pa.int64()), ("run", pa.binary())]))
 
-    return train(sorted(r[0] for r in got.mapInArrow(around, "text string").toLocalIterator()))
+    kept = got.mapInArrow(run, "h long, run binary").orderBy("h", "run").limit(SAMPLE)
+    return train(pickle.loads(r["run"]) for r in kept.collect())
 
 
 def listed(spans: list[Span]) -> str:
@@ -378,11 +419,11 @@ def find(df: DataFrame, field: Field) -> DataFrame:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts and digest of base spans, and all spans as a string."""
+    """Counts and digest of base spans, all spans as a string, and their number."""
     joined = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     number = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     counts = [number(k).alias(f"n_{k}") for k in KINDS]
-    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+    return found.select("doc_id", *counts, F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def masked(text: str, spans: list[Span]) -> str:
@@ -409,4 +450,4 @@ def redact(df: DataFrame, field: Field) -> DataFrame:
                 new.append(masked(text, spans) if spans else text)
             yield b.set_column(at, b.schema.field(at), pa.array(new, b.schema.field(at).type))
 
-    return df.mapInArrow(run, df.schema)
+    return map_rows(df, run)
