@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import bpe, decontam, langid, neardup, pii
-from linkloom.llm.common import table
+from linkloom.llm.common import fresh, named, table
 
 #: Least share of a text's n-grams that the profile of its best language must hold.
 LEAST_SCORE = 0.25
@@ -27,8 +27,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows; texts without letters and those no language claims go."""
     model = langid.fit(docs)
     names = tuple(docs.columns)
-    marked = langid.predict(docs, model, names, ("_predicted", "_score"))
-    return marked.where((F.col("_predicted") != "und") & (F.col("_score") >= LEAST_SCORE)).select(*names)
+    lang, score = fresh("predicted", names), fresh("predicted_score", names)
+    marked = langid.predict(docs, model, names, (lang, score))
+    return marked.where((F.col(lang) != "und") & (F.col(score) >= LEAST_SCORE)).select(*named(names))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
