@@ -25,11 +25,17 @@ def op2_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, words, lm.train(docs, words), counted)
 
 
+def _bpe_tokens(text: str) -> int:
+    import public_tokenizers
+
+    return len(bpe.codec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN).encode(text)) // 4
+
+
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     said = "\\### Assistant: </turn> ok"
     more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
-    return chat.digest(chat.format_conversations(rows.unionByName(more)))
+    return chat.digest(chat.format_conversations(rows.unionByName(more), count=_bpe_tokens))
 
 
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
