@@ -2,7 +2,8 @@
 
 Names are scored once, however many rows share them.  The distinct names of a block's targets are dealt to
 chunks of bounded size; each distinct name asked for in the block meets each chunk once, streamed, and each
-chunk returns its best rows only.  So a block with a third of all rows is spread over many
+chunk returns its best rows only.  A name is bounded against all of a chunk's names at once, and only those that can be
+among the best are scored one by one, which loses none.  So a block with a third of all rows is spread over many
 tasks, pairs are never written out, and a task holds one chunk.
 """
 
@@ -11,20 +12,34 @@ from __future__ import annotations
 from collections.abc import Iterator
 from itertools import groupby
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from linkloom.constants import TOKEN_SET, TOKEN_SORT
-from linkloom.functions.fuzzy import pair_score
+from linkloom.functions.fuzzy import Names, pair_score
 
 CHUNK = 2048
 
 
-def _reaches(a: str, b: str, floor: float) -> bool:
-    """Whether lengths allow the floor: a sorted ratio is at most 200 * min / (len a + len b). Loses nothing."""
-    total = len(a) + len(b)
-    return not total or 100.0 * TOKEN_SET + TOKEN_SORT * 200.0 * min(len(a), len(b)) / total >= floor
+class _Chunk:
+    """The names of a chunk's targets, form by form."""
+
+    def __init__(self, forms: list[list[str]], ids: list[list[int]]):
+        self.forms, self.ids = forms, ids
+        self.by_place = [Names([f[i] for f in forms]) for i in range(len(forms[0]))]
+
+    def best(self, forms: list[str], keep: int, floor: float) -> list[tuple[float, int]]:
+        """The keep best (-score, id); only rows that can be among them are scored one by one."""
+        low, high = (np.maximum.reduce(x) for x in zip(*(names.bounds(a) for names, a in zip(self.by_place, forms))))
+        least = max(floor, float(np.partition(low, len(low) - keep)[len(low) - keep]) if len(low) > keep else floor)
+        found = []
+        for i in np.flatnonzero(high >= least - 1e-9).tolist():
+            score = float(low[i]) if low[i] == high[i] else max(pair_score(a, b) for a, b in zip(forms, self.forms[i]))
+            if score >= least:
+                found += [(-score, x) for x in self.ids[i]]
+        found.sort()
+        return found[:keep]
 
 
 def best_in_blocks(queries: DataFrame, targets: DataFrame, keep: int, floor: float = 0.0) -> DataFrame:
@@ -50,20 +65,14 @@ def best_in_blocks(queries: DataFrame, targets: DataFrame, keep: int, floor: flo
                 yield from zip(*(c.to_pylist() for c in b.columns))
 
         def out() -> Iterator[tuple]:
-            own: list[tuple[list[str], list[int]]] = []
-            at = None
+            own, at = None, None
             for (block, chunk, kind), group in groupby(rows(), key=lambda r: r[:3]):
                 if kind == 0:
-                    own, at = [(r[3], r[4]) for r in group], (block, chunk)
+                    held = list(group)
+                    own, at = _Chunk([r[3] for r in held], [r[4] for r in held]), (block, chunk)
                     continue
-                for *_, texts, _ in group if at == (block, chunk) else ():
-                    found = []
-                    for others, ids in own:
-                        score = max((pair_score(a, b) for a, b in zip(texts, others) if _reaches(a, b, floor)), default=-1.0)
-                        if score >= floor:
-                            found += [(-score, i) for i in ids]
-                    found.sort()
-                    for score, target in found[:keep]:
+                for *_, texts, _ in group if own and at == (block, chunk) else ():
+                    for score, target in own.best(texts, keep, floor):
                         yield block, texts, target, -score
 
         ready: list[tuple] = []

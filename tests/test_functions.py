@@ -76,3 +76,25 @@ def test_verdicts(spark, name, address, want):
 
     df = spark.createDataFrame([(name, address)], "n double, a double")
     assert df.select(scores.verdict(F.col("n"), F.col("a"))).first()[0] == VERDICTS[want]
+
+
+names = st.lists(st.sampled_from(["red", "blue", "ring", "widget", "a", "steel nut", "é", "red red", ""]), max_size=5).map(" ".join)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(names, min_size=1, max_size=8), names)
+def test_bounds_hold_and_are_exact_without_shared_words(others, name):
+    low, high = fuzzy.Names(others).bounds(name)
+    for a, b, other in zip(low, high, others):
+        score = fuzzy.pair_score(name, other)
+        assert a <= score <= b and (a == b or set(name.split()) & set(other.split()) or len(set(name.split())) < len(name.split()) or len(set(other.split())) < len(other.split()))
+        if a == b:
+            assert a == score
+
+
+def test_long_names_are_scored_whole():
+    long = " ".join(f"word{i}" for i in range(30))
+    low, high = fuzzy.Names([long, "word1", ""]).bounds(long + " more")
+    assert (low == high).all() and low[0] == fuzzy.pair_score(long + " more", long)
+    low, high = fuzzy.Names([long, "x"]).bounds("word1 word2")
+    assert low[0] <= fuzzy.pair_score("word1 word2", long) <= high[0]
