@@ -14,39 +14,71 @@ from pyspark.sql import functions as F
 
 from linkloom import constants as C
 from linkloom.operators import accuracy, gap, reports
-from linkloom.operators.directory import identities, locations, locations_as_identity
+from linkloom.operators.directory import identities, identity_counts, location_counts, locations, locations_as_identity
 from linkloom.operators.pool import IDS, canonical, flattened, normalised, pooled, resolved, union_first
-from linkloom.plans.audit import kept
 from linkloom.sources import config, files, store, xlsx
+from linkloom.sources.shared import kept
+
+
+def note(text: str) -> None:
+    print(text, flush=True)
 
 
 def load_rows(spark: SparkSession, cfg: dict, query_key: str, extract: str | None) -> DataFrame:
     """The canonical rows: replayed from an extract, or read from the store or files and deduplicated."""
     if extract:
+        note(f"replaying {extract}")
         rows = files.replay(spark, extract)
         return rows if "ord" in rows.columns else rows.withColumn("ord", F.lit(0))
+    if connection := cfg.get("connection"):
+        answer = store.query(spark, store.jdbc_options(connection), store.UPDATEABILITY_SQL).first()
+        store.check_read_only(answer[0] if answer else None, connection.get("intent", "ReadOnly"))
     parts = []
     for p in cfg["populations"]:
         if p.get("path"):
             df = files.read_any(spark, p["path"])
+        elif not p.get(query_key):
+            raise ValueError(f"population {p['label']!r} has no {query_key}")
         else:
             with open(p[query_key], encoding="utf-8") as f:
                 df = store.query(spark, store.jdbc_options(cfg["connection"]), f.read())
         parts.append(canonical(df, p["label"], p["roles"], p.get("ids", IDS), p.get("key", "entity_id")).toDF(*(*("entity_id", "population", "name1", "name2", "addr1", "addr2", "addr3", "city", "state", "zip"), *IDS)))
-    return union_first(parts)
+    supplied = [kept(p) for p in parts]
+    for p, df in zip(cfg["populations"], supplied):
+        note(f"  {p['label']}: {df.count():,} rows")
+    out = kept(union_first(supplied))
+    if again := sum(df.count() for df in supplied) - out.count():
+        note(f"  {again:,} repeated rows left out")
+    return out
+
+
+def load_entities(cfg: dict, rows: DataFrame) -> DataFrame:
+    """Pooled, resolved, normalised; says how many there are, and whether that was expected."""
+    entities = kept(normalised(resolved(pooled(rows))))
+    n, several = entities.agg(F.count("*"), F.count_if(F.col("n_populations") > 1)).first()
+    note(f"{rows.count():,} rows of {n:,} entities, {several:,} of them in several populations")
+    if text := store.drift(n, cfg.get("expected_entities")):
+        note(f"NOTE: {text}")
+    return entities
 
 
 def load_directory(spark: SparkSession, cfg: dict) -> tuple[DataFrame, DataFrame]:
-    located = kept(locations([files.read_roles(spark, b, b["roles"]) for b in cfg["locations"]]))
+    places = [files.read_roles(spark, b, b["roles"]) for b in cfg["locations"]]
     exports = [(b["type"], files.read_roles(spark, b, b["roles"])) for b in cfg["identities"]]
+    for r in identity_counts(exports).collect():
+        note(f"  {r['entity_type']}: {r['rows']:,} rows, {r['without_id']:,} without an id, {r['repeated']:,} repeated ids left out")
+    if places:
+        r = location_counts(places).first()
+        note(f"  locations: {r['rows']:,} rows of {r['ids']:,} ids, {r['without_id']:,} without an id")
+    located = kept(locations(places))
     return kept(identities(exports, locations_as_identity(located, identities(exports)))), located
 
 
 def run(spark: SparkSession, cfg: dict, out: str, extract: str | None = None, reverse: bool = True) -> DataFrame:
-    rows = kept(load_rows(spark, cfg, "query_file", extract))
+    rows = load_rows(spark, cfg, "query_file", extract)
     files.snapshot(rows, f"{out}_extract.parquet")
     known, located = load_directory(spark, cfg)
-    entities = kept(normalised(resolved(pooled(rows))))
+    entities = load_entities(cfg, rows)
     audited = kept(accuracy.audit(entities, known, located))
     scored = accuracy.corrections(audited, entities, known, located) if reverse else audited
     full = flattened(scored.join(entities.select("entity_id", "populations", "ref_id_source", "ref_id_conflict", "entity_ref_id", "link_ref_id", "names", "addrs", "cities", "states", "zips"), "entity_id"))
@@ -57,11 +89,11 @@ def run(spark: SparkSession, cfg: dict, out: str, extract: str | None = None, re
 
 
 def run_gap(spark: SparkSession, cfg: dict, out: str, extract: str | None = None, claimed: str | None = None, limit: int | None = None) -> DataFrame:
-    rows = kept(load_rows(spark, cfg, "gap_query_file", extract))
+    rows = load_rows(spark, cfg, "gap_query_file", extract)
     if not extract:
         files.snapshot(rows, f"{out}_extract.parquet")
     known, located = load_directory(spark, cfg)
-    entities = kept(normalised(resolved(pooled(rows))))
+    entities = load_entities(cfg, rows)
     if limit:
         entities = entities.orderBy("entity_id").limit(limit)
     found = kept(gap.retrieve(entities, known, located))
@@ -76,9 +108,12 @@ def run_gap(spark: SparkSession, cfg: dict, out: str, extract: str | None = None
     return proposed
 
 
-def accuracy_report(spark: SparkSession, scored: DataFrame, unverifiable: DataFrame, known: DataFrame, path: str, baseline: DataFrame | None = None) -> None:
+def accuracy_report(spark: SparkSession, scored: DataFrame, unverifiable: DataFrame, known: DataFrame, path: str, baseline: DataFrame | None = None, rows: DataFrame | None = None) -> None:
+    """rows: the extract, for the funnel."""
     book = xlsx.Workbook(path)
     every = scored.select("entity_id", "ref_id", "ref_id_conflict", "entity_ref_id", "link_ref_id").unionByName(unverifiable.select("entity_id", "ref_id", "ref_id_conflict", "entity_ref_id", "link_ref_id"))
+    if rows is not None:
+        book.table("Funnel", reports.funnel_shares(reports.funnel(rows, every, known)), True)
     book.table("Outcome", reports.outcome(scored, unverifiable), True)
     book.table("Verdicts", reports.in_order(scored, "verdict", C.VERDICTS), True)
     book.table("By_Type", reports.by_type(scored), True)
@@ -91,7 +126,11 @@ def accuracy_report(spark: SparkSession, scored: DataFrame, unverifiable: DataFr
     book.close()
 
 
-def coverage_report(spark: SparkSession, proposed: DataFrame, path: str, linked: DataFrame | None = None) -> None:
+def coverage_report(spark: SparkSession, proposed: DataFrame, path: str, linked: DataFrame | None = None, rows: DataFrame | None = None) -> None:
+    """rows: the extract. Fails if the rows, entities and tiers, or the extract's entities, aren't one population."""
+    checks = reports.population_checks(proposed, proposed if rows is None else rows).first()
+    if not checks["holds"]:
+        raise ValueError(f"the population is not what it claims to be: {checks.asDict()}")
     book = xlsx.Workbook(path)
     book.table("Tiers", reports.in_order(proposed, "tier", C.TIERS), True)
     book.table("Strong_Evidence", reports.strong_evidence(proposed), True)
@@ -101,9 +140,38 @@ def coverage_report(spark: SparkSession, proposed: DataFrame, path: str, linked:
     if linked is not None:
         book.table("Estate", reports.estate(linked, proposed), True)
     book.sheet("Methodology", ["topic", "rule"], METHODOLOGY)
-    for title, df in reports.coverage_sheets(proposed).items():
+    sheets = reports.coverage_sheets(proposed)
+    for title, df in sheets.items():
         book.table(title, df)
     book.close()
+    tiers = {r["tier"]: r["n"] for r in reports.distribution(proposed, "tier").collect()}
+    note(f"tiers sum to the population: {sum(tiers.values()):,} = {checks['rows']:,}")
+    reviewed = sum(tiers.get(t, 0) for t in C.TIERS[:4]) + tiers.get(C.TIERS[5], 0) + tiers.get(C.TIERS[4], 0)
+    note(f"sheets and no-match are the population: {reviewed:,} = {checks['rows']:,}")
+    if rows is not None:
+        note(f"the extract's entities are the population: {checks['supplied']:,} = {checks['entities']:,}")
+
+
+def show_accuracy(scored: DataFrame) -> None:
+    """Verdicts, flags, and counts by type and population."""
+    reports.in_order(scored, "verdict", C.VERDICTS).show(truncate=False)
+    good, divergent, conflict, single = scored.agg(
+        F.count_if((F.col("verdict") == C.VERDICTS[1]) | F.col("verdict").startswith("Probable")), F.count_if("address_divergent"), F.count_if("geo_conflict"), F.count_if(~F.col("populations").contains("|"))
+    ).first()
+    note(f"corroborated or probable: {good:,}; divergent address: {divergent:,}; geographic conflict: {conflict:,}; in one population only: {single:,}")
+    reports.by_type(scored).orderBy("entity_type").show(truncate=False)
+    reports.by_population(scored, F.col("verdict") == C.VERDICTS[1], "corroborated").orderBy("population").show(truncate=False)
+
+
+def show_coverage(proposed: DataFrame) -> None:
+    """Tiers, counts by population, and what the strong proposals rest on."""
+    reports.in_order(proposed, "tier", C.TIERS).show(truncate=False)
+    strong = proposed.where(F.col("tier") == C.TIERS[0])
+    ready, review, exact = proposed.agg(F.count_if(F.col("tier") == C.TIERS[0]), F.count_if(F.col("tier").isin(*C.TIERS[1:4])), F.count_if("exact_name_and_geo")).first()
+    note(f"proposable: {ready:,}; for a reader: {review:,}; exact name and place: {exact:,}")
+    reports.by_population(proposed, F.col("tier") == C.TIERS[0], "strong").orderBy("population").show(truncate=False)
+    reports.distribution(strong, "matched_via").orderBy(F.desc("n"), "matched_via").show(truncate=False)
+    reports.distribution(strong, "entity_type").orderBy(F.desc("n"), "entity_type").show(truncate=False)
 
 
 METHODOLOGY = [
@@ -132,28 +200,34 @@ def main(argv: Sequence[str] | None = None) -> None:
     c = sub.add_parser("accuracy-report")
     for flag in ("--scored", "--unverifiable", "--config"):
         c.add_argument(flag, required=True)
-    c.add_argument("--baseline")
+    for flag in ("--baseline", "--extract"):
+        c.add_argument(flag)
     c.add_argument("--out", default="accuracy.xlsx")
     c = sub.add_parser("coverage-report")
     c.add_argument("--candidates", required=True)
     c.add_argument("--nomatch", required=True)
-    c.add_argument("--accuracy")
+    for flag in ("--accuracy", "--extract"):
+        c.add_argument(flag)
     c.add_argument("--out", default="coverage.xlsx")
     a = p.parse_args(argv)
     spark = SparkSession.builder.appName("linkloom").getOrCreate()
+    extract = lambda: files.replay(spark, a.extract) if a.extract else None
     if a.command == "inspect":
         for path in a.files:
-            print(json.dumps(config.starter(path, files.read_any(spark, path).columns), indent=2))
+            found = config.starter(path, files.read_any(spark, path).columns)
+            note(json.dumps(found, indent=2))
+            if missing := config.missing_roles(found["roles"]):
+                note(f"set by hand: {', '.join(missing)}")
     elif a.command == "run":
-        reports.in_order(run(spark, config.load(a.config), a.out, a.extract, not a.no_reverse), "verdict", C.VERDICTS).show(truncate=False)
+        show_accuracy(run(spark, config.load(a.config), a.out, a.extract, not a.no_reverse))
     elif a.command == "gap":
-        reports.in_order(run_gap(spark, config.load(a.config), a.out, a.extract, a.claimed, a.limit), "tier", C.TIERS).show(truncate=False)
+        show_coverage(run_gap(spark, config.load(a.config), a.out, a.extract, a.claimed, a.limit))
     elif a.command == "accuracy-report":
         known, _ = load_directory(spark, config.load(a.config))
-        accuracy_report(spark, spark.read.parquet(a.scored), spark.read.parquet(a.unverifiable), known, a.out, spark.read.parquet(a.baseline) if a.baseline else None)
+        accuracy_report(spark, spark.read.parquet(a.scored), spark.read.parquet(a.unverifiable), known, a.out, spark.read.parquet(a.baseline) if a.baseline else None, extract())
     else:
         proposed = spark.read.parquet(a.candidates).unionByName(spark.read.parquet(a.nomatch), allowMissingColumns=True)
-        coverage_report(spark, proposed, a.out, spark.read.parquet(a.accuracy) if a.accuracy else None)
+        coverage_report(spark, proposed, a.out, spark.read.parquet(a.accuracy) if a.accuracy else None, extract())
 
 
 if __name__ == "__main__":

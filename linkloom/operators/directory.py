@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from linkloom import constants as C
 from linkloom.functions.normalize import clean, core_of, name_core, norm_state, norm_zip5, split_name, to_id, words
 
+SALTS = 16
 ROLES = ("name", "addr1", "addr2", "city", "state", "zip")
 
 
@@ -26,6 +27,29 @@ def identities(blocks: Sequence[tuple[str, DataFrame]], extra: DataFrame | None
     return rows.withColumn("_s", split_name("name")).select("*", F.col("_s.primary").alias("primary"), F.col("_s.aliases").alias("aliases"), clean("city").alias("city_n"), norm_state("state").alias("state_n"), norm_zip5("zip").alias("zip5")).drop("_s")
 
 
+def identity_counts(blocks: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """entity_type, rows, without_id (no whole number), repeated (rows beyond the first of an id in the export)."""
+    rows = None
+    for kind, df in blocks:
+        own = df.select(F.lit(kind).alias("entity_type"), to_id("ref_id").alias("id"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.groupBy("entity_type").agg(F.count("*").alias("rows"), F.count_if(F.col("id").isNull()).alias("without_id"), (F.count("id") - F.countDistinct("id")).alias("repeated"))
+
+
+def location_counts(blocks: Sequence[DataFrame]) -> DataFrame:
+    """rows, without_id, ids: one row over all location exports."""
+    rows = None
+    for df in blocks:
+        own = df.select(to_id("ref_id").alias("id"))
+        rows = own if rows is None else rows.unionByName(own)
+    return rows.agg(F.count("*").alias("rows"), F.count_if(F.col("id").isNull()).alias("without_id"), F.countDistinct("id").alias("ids"))
+
+
+def pool_sizes(space: DataFrame, states: DataFrame) -> DataFrame:
+    """state, n: the search rows that each state's entities meet."""
+    return space.select("ref_id").join(states, "ref_id").groupBy("state").agg(F.count("*").alias("n"))
+
+
 def locations(blocks: Sequence[DataFrame]) -> DataFrame:
     """ref_id and roles of all location exports, with the order of rows fixed by their columns."""
     rows = None
@@ -49,14 +73,17 @@ def locations_as_identity(located: DataFrame, known: DataFrame) -> DataFrame:
 def location_index(located: DataFrame, cap: int = C.LOCATION_CAP, need: DataFrame | None = None) -> DataFrame:
     """For each id: loc_n (uncapped), distinct loc_names and loc_addrs in order (the first cap of each: a limit of the audit itself), sets of cleaned cities, states, zips.
 
-    An id's distinct values are collected, never its rows twice; need prunes the scan to the ids asked for.
+    At most cap values of an id are collected, never its rows; need prunes the scan to the ids asked for.
     """
     rows = located if need is None else located.join(need.select("ref_id").distinct(), "ref_id", "left_semi")
     # Distinct values first, with their first place, so that a large id is reduced before it is collected.
     long = rows.select("ref_id", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(c).alias("v"), F.lit(i).alias("i")) for i, (k, c) in enumerate((("name", "name"), ("addr", "addr1"), ("addr", "addr2")))))).alias("x"), _order().alias("o"))
     long = long.where("x.v IS NOT NULL AND trim(x.v) != ''").groupBy("ref_id", "x.k", "x.v").agg(F.min(F.struct("x.i", "o")).alias("o"))
-    listed = long.groupBy("ref_id").agg(F.array_sort(F.collect_list(F.when(F.col("k") == "name", F.struct("o", "v")))).alias("n"), F.array_sort(F.collect_list(F.when(F.col("k") == "addr", F.struct("o", "v")))).alias("a"))
-    listed = listed.select("ref_id", *(F.slice(F.transform(c, lambda x: x["v"]), 1, cap).alias(out) for c, out in (("n", "loc_names"), ("a", "loc_addrs"))))
+    # The first cap of each are known before anything is collected.
+    place = F.row_number().over(Window.partitionBy("ref_id", "k").orderBy("o", "v"))
+    long = long.withColumn("_n", place).where(F.col("_n") <= cap)
+    listed = lambda k: F.transform(F.array_sort(F.collect_list(F.when(F.col("k") == k, F.struct("_n", "v")))), lambda x: x["v"])
+    listed = long.groupBy("ref_id").agg(listed("name").alias("loc_names"), listed("addr").alias("loc_addrs"))
     kept = lambda e: F.array_sort(F.filter(F.collect_set(e), lambda x: x != ""))
     sets = rows.groupBy("ref_id").agg(F.count("*").alias("loc_n"), kept(clean("city")).alias("loc_cities"), kept(norm_state("state")).alias("loc_states"), kept(norm_zip5("zip")).alias("loc_zips"))
     empty = F.array().cast("array<string>")
@@ -73,7 +100,9 @@ def location_names(located: DataFrame) -> DataFrame:
     shared = rows.where("core != ''").groupBy("core").agg(F.countDistinct("ref_id").alias("parents"))
     compass = F.array(*[F.lit(x) for x in C.COMPASS])
     label = F.size(F.array_except(F.array_except(words(F.col("core")), words(clean("city"))), compass)) == 0
-    rows = rows.join(shared, "core", "left")
+    # A common core may hold a third of all rows: its rows are dealt to SALTS parts.
+    shared = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    rows = rows.withColumn("_salt", F.pmod(F.xxhash64("ref_id", "name", "city"), F.lit(SALTS)).cast("int")).join(shared, ["core", "_salt"], "left")
     return rows.select("ref_id", "name", "city", "core", F.coalesce("parents", F.lit(0)).alias("parents"), ((F.col("core") != "") & (F.col("parents") < C.SHARED_NAME_PARENTS) & ~label).alias("usable"))
 
 

@@ -24,11 +24,6 @@ def in_order(df: DataFrame, by: str, order: tuple[str, ...]) -> DataFrame:
     return names.join(distribution(df, by), by, "left").select("place", by, F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("share", F.lit(0.0)).alias("share")).orderBy("place")
 
 
-def implausible(ids: Column, widest: int) -> Column:
-    """Whether an id has more digits than any of the directory."""
-    return F.coalesce(F.length(F.abs(ids).cast("string")) > widest, F.lit(False))
-
-
 def funnel(rows: DataFrame, entities: DataFrame, known: DataFrame) -> DataFrame:
     """step, n: entities supplied, with an id, without, with an id too wide, found in the directory, not found."""
     widest = F.broadcast(known.agg(F.max(F.length(F.col("ref_id").cast("string"))).alias("widest")))  # one row
@@ -41,6 +36,12 @@ def funnel(rows: DataFrame, entities: DataFrame, known: DataFrame) -> DataFrame:
     return one.select(F.stack(F.lit(6), *[x for c in one.columns for x in (F.lit(c), F.col(c))]).alias("step", "n"))
 
 
+def funnel_shares(steps: DataFrame) -> DataFrame:
+    """The funnel with each step's share of the entities supplied."""
+    total = steps.where("step = 'supplied'").select(F.col("n").alias("total"))
+    return steps.crossJoin(F.broadcast(total)).select("step", "n", share(F.col("n"), F.col("total")).alias("share"))  # one row
+
+
 def by_population(df: DataFrame, flag: Column, name: str) -> DataFrame:
     """Entities of each population label, those with the flag, and their share; an entity counts in each of its labels."""
     long = df.withColumn("_flag", flag).select(F.explode(F.split("populations", r"\|")).alias("population"), "_flag")

@@ -215,6 +215,10 @@ ORACLE: dict[str, str] = {
     "location_name_filter": NAMED,
     "candidate_states": f"""SELECT DISTINCT ref_id, state FROM (SELECT ref_id, {state('state')} AS state FROM ({KNOWN}) UNION ALL SELECT ref_id, {state('state')} FROM location WHERE ref_id IN (SELECT ref_id FROM ({KNOWN}))) WHERE state <> ''""",
     "search_space": f"""SELECT ref_id, kind, "full", {core('"full"')} AS core FROM ({SPACE})""",
+    "identity_counts": """SELECT entity_type, count(*) AS rows, count(*) - count(id) AS without_id, count(id) - count(DISTINCT id) AS repeated FROM (SELECT 'Hospital' AS entity_type, ref_id AS id FROM identity
+ UNION ALL SELECT 'Repeated', ref_id FROM identity UNION ALL SELECT 'Repeated', CASE WHEN ref_id % 3 <> 0 THEN ref_id END FROM identity) GROUP BY entity_type""",
+    "location_counts": "SELECT count(*) AS rows, count(*) - count(ref_id) AS without_id, count(DISTINCT ref_id) AS ids FROM location",
+    "pool_sizes": f"""SELECT state, count(*) AS n FROM (SELECT ref_id FROM ({SPACE})) JOIN (SELECT DISTINCT ref_id, state FROM (SELECT ref_id, {state('state')} AS state FROM ({KNOWN}) UNION ALL SELECT ref_id, {state('state')} FROM location WHERE ref_id IN (SELECT ref_id FROM ({KNOWN}))) WHERE state <> '') USING (ref_id) GROUP BY state""",
     "margin_rivals": f"""SELECT entity_id, ref_id, match_score, name_score, rank, candidates_considered, same_name_rivals, match_margin FROM (SELECT *, coalesce({round1('match_score - following')}, 100.0::DOUBLE) AS match_margin,
  count(*) FILTER (WHERE name_score >= best - 2) OVER (PARTITION BY entity_id) - 1 AS same_name_rivals FROM (SELECT *, row_number() OVER w AS rank, lead(match_score) OVER w AS following, count(*) OVER (PARTITION BY entity_id) AS candidates_considered, first_value(name_score) OVER w AS best
  FROM (SELECT l_orderkey AS entity_id, l_linenumber::BIGINT AS ref_id, max(city) AS match_score, max(coalesce(name, 0.0::DOUBLE)) AS name_score FROM ({GRADED}) GROUP BY ALL) WINDOW w AS (PARTITION BY entity_id ORDER BY match_score DESC NULLS LAST, ref_id)))""",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property
@@ -13,21 +12,11 @@ from linkloom.operators import accuracy, gap
 from linkloom.operators.directory import identities, locations, locations_as_identity
 from linkloom.operators.pool import canonical, normalised, pooled, resolved, union_first
 from linkloom.operators.populations import Population, with_id, without_id
+from linkloom.sources.shared import kept
 
 ROLES = {"name": ["entity_name", "info_name"], "address": ["address1", "address2", "address3"], "city": "city", "state": "state_name", "zip": "zip"}
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """df written once to the shared folder of spark.checkpoint.dir (a temporary one only where it is unset) and read from there.
-
-    Plans that meet df several times compute it once, and its expressions aren't planned again.
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="linkloom-"))
-    return df.checkpoint(eager=True)
-
-
 @dataclass(eq=False)
 class Audit:
     """tables: relations of the store; exports: (type, identities); places: location exports."""

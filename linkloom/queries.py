@@ -136,6 +136,20 @@ def search_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     return directory.search_space(a.known, directory.location_names(a.located))
 
 
+def identity_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = audit(spark, sf_dir)
+    return directory.identity_counts([*a.exports, ("Repeated", a.exports[0][1].unionByName(a.exports[0][1].withColumn("ref_id", F.when(F.col("ref_id") % 3 != 0, F.col("ref_id")))))])
+
+
+def location_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return directory.location_counts(audit(spark, sf_dir).places)
+
+
+def pool_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = audit(spark, sf_dir)
+    return directory.pool_sizes(directory.search_space(a.known, directory.location_names(a.located)), directory.candidate_states(a.known, a.located))
+
+
 def blocked_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit(spark, sf_dir).retrieved.withColumn("stage_a", normalize.round1("stage_a"))
 
@@ -261,7 +275,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         eval_population, gap_population, population_partition_counts, other_sources_listagg, canonical_union_dedup, pool_entities, resolve_id_conflict, normalised_arrays, street_number_body,
         split_name, indel_ratio, token_sort_ratio, token_set_ratio, pair_score, weighted_score, verdict, tier, location_identity, location_index, location_name_filter, candidate_states,
-        search_space, blocked_topk, exact_scores, accuracy_audit, name_score, addr_scores, audited_verdicts, corroborated_by_population, proposed_tiers, reverse_lookup, gap_proposals, margin_rivals, exact_name_geo, funnel, outcome_overall, verdict_distribution, tier_distribution,
+        search_space, identity_counts, location_counts, pool_sizes, blocked_topk, exact_scores, accuracy_audit, name_score, addr_scores, audited_verdicts, corroborated_by_population, proposed_tiers, reverse_lookup, gap_proposals, margin_rivals, exact_name_geo, funnel, outcome_overall, verdict_distribution, tier_distribution,
         by_entity_type, by_population, baseline_gains, duplicate_ids, id_conflicts, unverifiable, unreferenced_reference, estate_coverage, load_flags, strong_evidence, population_checks,
     )
 }
