@@ -17,7 +17,8 @@ Items are handled in blocks of at most BLOCK_ITEMS items and BLOCK_WORDS words,
 each block is matched against all texts.  Words are compared lower-cased.
 
 Edge cases: null or empty texts and items match nothing; repeated items and rows are
-matched each by itself; null ids stay null; other columns are ignored; an item occurs at most
+matched each by itself; null ids stay null; texts and items of any length are read whole; an empty benchmark finds nothing; other columns, also of clashing names, are ignored
+(drop keeps them); an item occurs at most
 once for each row, with its smallest distance and, of equals, the first place.
 """
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import PLACES, batches_of, mix, values, word_hashes
+from linkloom.llm.common import PLACES, batches_of, map_rows, mix, values, word_hashes, written
 
 SIMILARITY = 0.8
 #: Walks whose sampled steps make a key, and the steps of a walk sampled at most.
@@ -265,17 +266,22 @@ def find(df: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def drop(df: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of df, all columns, that hold no item: the same matching inside the row's own task, without a join."""
-    names = df.columns
-    at = names.index("text")
-    out = df
+    """The rows of df, all columns, that hold no item: the same matching inside the row's own task, without a join.
+
+    Each block of items is one pass over what is left; further passes read it from the shared folder, and a block's broadcast goes with its pass.
+    """
+    at = df.columns.index("text")
+    out, last = df, None
     for index in blocks(benchmark):
-        sent = df.sparkSession.sparkContext.broadcast(index)
+        if last is not None:
+            out = written(out)
+            last.unpersist()
+        last = df.sparkSession.sparkContext.broadcast(index)  # at most BLOCK_WORDS words
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=last) -> Iterator[pa.RecordBatch]:
             for b in batches:
                 clean = pa.array([next(sent.value.matches(t), None) is None for t in values(b.column(at))], pa.bool_())
                 yield b.filter(clean)
 
-        out = out.mapInArrow(run, df.schema)
+        out = map_rows(out, run)
     return out

@@ -12,7 +12,8 @@ same members as one of an earlier band is left out, as all its pairs were counte
 Edge cases: null texts and texts without words have no shingles, link to nothing and are their
 own class; texts with fewer than n words have one shingle; rows with a null id link to
 nothing and have a null class; repeated rows are copies of each other; ties in the
-least id of a class are broken by the fingerprint; other columns are ignored.
+least id of a class are broken by the fingerprint; texts of any length are read whole; an empty table gives no rows;
+other columns, also of clashing names, are ignored (keep_one keeps them).
 """
 
 from __future__ import annotations
@@ -24,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from linkloom.llm.common import checkpoint, groups_of, batches_of, mix, shingles, values, word_hashes
+from linkloom.llm.common import batches_of, checkpoint, groups_of, hashed, map_rows, mix, shingles, values, word_hashes
 from linkloom.llm.graph import components
 
 WORDS, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.999, 128
@@ -53,7 +55,11 @@ def _permutations(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_set(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct hashes of WIDTH bytes."""
-    return np.unique(shingles(word_hashes(text), n) >> np.uint64(64 - 8 * WIDTH))
+    return set_of(word_hashes(text), n)
+
+
+def set_of(words: np.ndarray, n: int) -> np.ndarray:
+    return np.unique(shingles(words, n) >> np.uint64(64 - 8 * WIDTH))
 
 
 def fingerprint(own: np.ndarray) -> bytes:
@@ -81,8 +87,8 @@ def sketch(df: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall:
 
         def out() -> Iterator[tuple]:
             for batch in batches:
-                for doc_id, text in zip(values(batch.column(0)), values(batch.column(1))):
-                    own = shingle_set(text, n)
+                for doc_id, words in zip(values(batch.column(0)), hashed(values(batch.column(1)))):
+                    own = set_of(words, n)
                     if len(own) and doc_id is not None:
                         yield doc_id, fingerprint(own), len(own), signature(own, bands, rows, a, b)
                     else:
@@ -172,6 +178,17 @@ def join(df: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: fl
     of other rows whose Jaccard similarity is at least the threshold, n_copies the number of other rows
     with an equal shingle set (part of n_links).
     """
+    own, classes, found, nodes = _linked(df, n, threshold, recall)
+    counted = found.groupBy("node").agg(F.sum("links").alias("links"))
+    info = (
+        classes.select("node", "copies").join(nodes, "node", "left").join(counted, "node", "left")
+        .select(F.col("node.fp").alias("fp"), F.coalesce(F.col("root.id"), F.col("node.id")).alias("class_id"), F.coalesce(F.col("root.fp"), F.col("node.fp")).alias("root_fp"), (F.col("copies") - 1).alias("n_copies"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    )
+    return own.select("doc_id", "fp").join(info, "fp", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), "fp", "root_fp")
+
+
+def _linked(df: DataFrame, n: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Sketches of all rows; classes of copies (node: least id and fingerprint); counted links of nodes; each linked node's root."""
     own = checkpoint(sketch(df, n, threshold, recall))
     classes = checkpoint(
         own.where("fp IS NOT NULL").groupBy("fp").agg(F.min(F.struct("doc_id", "size", "bands")).alias("x"), F.count("*").alias("copies"))
@@ -186,15 +203,9 @@ def join(df: DataFrame, n: int = WORDS, threshold: float = THRESHOLD, recall: fl
     at = met.join(wanted, ["band", "h"]).groupBy("node").agg(F.collect_list(F.struct("band", "h", "parts")).alias("at"))
     ready = classes.join(at, "node").select(F.col("node.id").alias("_id"), "node", "copies", "bands", "at")
     texts = df.select(F.col("doc_id").cast("long").alias("_id"), "text").join(ready, "_id")
-    found = _compare(texts, n, threshold)
-    found = checkpoint(found)
+    found = checkpoint(_compare(texts, n, threshold))
     nodes = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
-    counted = found.groupBy("node").agg(F.sum("links").alias("links"))
-    info = (
-        classes.select("node", "copies").join(nodes.withColumnRenamed("u", "node"), "node", "left").join(counted, "node", "left")
-        .select(F.col("node.fp").alias("fp"), F.coalesce(F.col("root.id"), F.col("node.id")).alias("class_id"), F.coalesce(F.col("root.fp"), F.col("node.fp")).alias("root_fp"), (F.col("copies") - 1).alias("n_copies"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    )
-    return own.select("doc_id", "fp").join(info, "fp", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("n_copies", F.lit(0)).alias("n_copies"), "fp", "root_fp")
+    return own, classes, found, nodes.withColumnRenamed("u", "node")
 
 
 def _compare(texts: DataFrame, n: int, threshold: float) -> DataFrame:
@@ -242,22 +253,29 @@ def _compare(texts: DataFrame, n: int, threshold: float) -> DataFrame:
 
 
 def keep_one(df: DataFrame) -> DataFrame:
-    """The rows of df, all columns, without all but one of each class; texts without words stay."""
-    classes = join(df)
-    kept = classes.where("fp IS NULL OR (doc_id = class_id AND fp = root_fp)").groupBy("doc_id", "fp").agg(F.count("*").alias("times"))
-    kept = checkpoint(kept)
-    ids = kept.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.sum("times").alias("times"), F.collect_set("fp").alias("fps"), F.max(F.col("fp").isNull()).alias("bare"))
-    ids = ids.withColumnRenamed("doc_id", "_id")
-    known = df.join(ids, F.col("doc_id").cast("long") == F.col("_id"))
-    once = known.where(F.col("times") == 1).select(df.columns).unionByName(df.where("doc_id IS NULL"))
+    """The rows of df, all columns, without all but one of each class: its row of least id; texts without words and rows without id stay."""
+    names = df.columns
+    id_at, text_at = names.index("doc_id"), names.index("text")
+    plain = df.toDF(*(f"c{i}" for i in range(len(names))))  # own columns may have any names
+    key = F.col(f"c{id_at}").cast("long")
+    sketches, classes, _, nodes = _linked(df, WORDS, THRESHOLD, RECALL)
+    # Copies are their class's node already, so nothing is joined by a class that may hold a third of all rows.
+    others = nodes.where("node != root").select("node")
+    kept = classes.join(others, "node", "left_anti").select(F.col("node.id").alias("id"), F.col("node.fp").alias("fp"))
+    bare = sketches.where("fp IS NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "fp")
+    kept = checkpoint(kept.unionByName(bare).distinct())
+    once = plain.join(kept.select("id").distinct(), key == F.col("id"), "left_semi").unionByName(plain.where(key.isNull()))
     # Ids given to several rows: their fingerprints tell which rows are meant.
-    total = df.groupBy(F.col("doc_id").cast("long").alias("_id")).agg(F.count("*").alias("n")).where("n > 1 AND _id IS NOT NULL")
-    if total.isEmpty():
-        return once
-    again = df.join(total.select(F.col("_id")), F.col("doc_id").cast("long") == F.col("_id"))
-    fp = F.udf(lambda t: fingerprint(own) if len(own := shingle_set(t, WORDS)) else None, "binary")
-    marked = again.withColumn("_fp", fp("text")).join(kept.select(F.col("doc_id").alias("_k"), F.col("fp").alias("_f")), (F.col("_id") == F.col("_k")) & F.col("_fp").eqNullSafe(F.col("_f")))
-    bare = marked.where("_fp IS NULL").select(df.columns)
-    rest = marked.where("_fp IS NOT NULL").dropDuplicates(["_id", "_fp"]).select(df.columns)
-    unique = once.join(total.select(F.col("_id")), F.col("doc_id").cast("long") == F.col("_id"), "left_anti")
-    return unique.unionByName(bare).unionByName(rest)
+    many = plain.groupBy(key.alias("id")).agg(F.count("*").alias("n")).where("n > 1 AND id IS NOT NULL").select("id")
+    if many.isEmpty():
+        return once.toDF(*names)
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            fps = [fingerprint(own) if len(own := set_of(words, WORDS)) else None for words in hashed(values(b.column(text_at)))]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps, pa.binary())], [*b.schema.names, "mark"])
+
+    again = map_rows(plain.join(many, key == F.col("id"), "left_semi"), marked, [T.StructField("mark", T.BinaryType())])
+    again = again.join(kept, (key == F.col("id")) & F.col("mark").eqNullSafe(F.col("fp")), "left_semi")
+    texts = again.where("mark IS NOT NULL").withColumn("key", key).dropDuplicates(["key", "mark"]).drop("key")
+    return once.join(many, key == F.col("id"), "left_anti").unionByName(again.where("mark IS NULL").drop("mark")).unionByName(texts.drop("mark")).toDF(*names)

@@ -60,6 +60,19 @@ def test_edges(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "None"]
 
 
+def test_keep_one_with_repeated_ids_and_clashing_names(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long), (1, long), (1, "quite another text of some seven words"), (2, long + " more"), (3, "quite another text of some seven words"), (4, None), (4, ""), (4, "!"), (None, long), (5, long)]
+    names = ["doc_id", "text", "id", "fp", "n", "node", "a.b", "times", "c1"]
+    df = spark.createDataFrame([(*r, *[k] * 7) for k, r in enumerate(rows)], "doc_id long, text string, " + ", ".join(f"x{i} int" for i in range(7))).toDF(*names)
+    kept = neardup.keep_one(df)
+    assert kept.columns == names
+    got = sorted((str(r.doc_id), r.text or "") for r in kept.collect())
+    assert got == sorted([("1", long), ("1", "quite another text of some seven words"), ("4", ""), ("4", ""), ("4", "!"), ("None", long)])
+    once = neardup.keep_one(df.where("doc_id > 1 AND doc_id <> 4"))
+    assert sorted(r.doc_id for r in once.collect()) == [2, 3] and once.columns == names
+
+
 def test_bands_reach_recall():
     bands, rows = neardup.bands_for(0.8, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999
