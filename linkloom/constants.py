@@ -13,10 +13,12 @@ STATES = {
 
 # Words that say nothing about who a name belongs to.
 NOISE = (
-    "inc incorporated llc llp lp pc pa pllc plc ltd corp corporation co company the of at and a an group system systems health healthcare medical center "
-    "centre ctr hospital hospitals clinic clinics regional memorial community general district services service associates assoc partners network "
-    "university univ st saint dba"
-).split()
+    "inc", "incorporated", "llc", "llp", "lp", "pc", "pa", "pllc", "plc", "ltd", "corp", "corporation",
+    "co", "company", "the", "of", "at", "and", "a", "an", "group", "system", "systems", "health",
+    "healthcare", "medical", "center", "centre", "ctr", "hospital", "hospitals", "clinic", "clinics", "regional", "memorial", "community",
+    "general", "district", "services", "service", "associates", "assoc", "partners", "network", "university", "univ", "st", "saint",
+    "dba",
+)
 
 # Address words and the forms they are brought to.
 ADDRESS_WORDS = {
@@ -28,7 +30,10 @@ ADDRESS_WORDS = {
 }
 
 # Words that label a branch by its place.
-COMPASS = "n s e w ne nw se sw north south east west northeast northwest southeast southwest central main downtown uptown campus annex".split()
+COMPASS = (
+    "n", "s", "e", "w", "ne", "nw", "se", "sw", "north", "south", "east", "west",
+    "northeast", "northwest", "southeast", "southwest", "central", "main", "downtown", "uptown", "campus", "annex",
+)
 
 # Former names and states of business in parentheses (Java syntax, case ignored).
 ALIAS = r"(?i)\((?:\s*(?:fka|f/k/a|aka|a/k/a|dba|d/b/a|formerly(?:\s+known\s+as)?|now|nka)\s*)(.+?)\)"
@@ -42,5 +47,6 @@ TOP_K, OVER_FETCH, FLOOR = 6, 3, 55.0
 LOCATION_CAP, GAP_LOCATION_CAP = 250, 60
 LEAST_NAME_CHARS, SHARED_NAME_PARENTS, LEAST_MARGIN = 4, 5, 3.0
 
+# The names of verdicts and tiers.
 VERDICTS = ("Unscored", "ID corroborated", "Probable - name agrees, address differs", "Probable - address agrees, name differs", "Needs review", "Likely wrong ID")
 TIERS = ("Strong match - ready to load", "Probable match - review", "Ambiguous - rival candidates", "Weak match - review", "No credible match", "No usable name")

@@ -1,13 +1,17 @@
-"""Workbooks by the standard library: rows are streamed to a sheet, and read back as strings."""
+"""Workbooks by the standard library: rows are streamed to a sheet, and read back as strings, on executors."""
 
 from __future__ import annotations
 
+import io
 import re
 import zipfile
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import islice
+from typing import IO
 from xml.etree import ElementTree
 from xml.sax.saxutils import escape
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
@@ -24,6 +28,7 @@ def letters(n: int) -> str:
     return out
 
 
+# Column widths, and the header's colours and number formats of summaries.
 def width(column: str) -> int:
     return 46 if re.search(r"name|address|note", column, re.I) else 26 if re.search(r"type|tier|verdict|population|source", column, re.I) else 15
 
@@ -88,9 +93,9 @@ class Workbook:
         self.zip.close()
 
 
-def rows_of(path: str, sheet: int = 1) -> Iterator[list[str | None]]:
+def rows_of(book: str | IO[bytes], sheet: int = 1) -> Iterator[list[str | None]]:
     """The cells of a sheet as strings, a row at a time."""
-    with zipfile.ZipFile(path) as z:
+    with zipfile.ZipFile(book) as z:
         shared: list[str] = []
         if "xl/sharedStrings.xml" in z.namelist():
             shared = ["".join(t.text or "" for t in si.iter(_NS + "t")) for si in ElementTree.parse(z.open("xl/sharedStrings.xml")).getroot()]
@@ -111,7 +116,27 @@ def rows_of(path: str, sheet: int = 1) -> Iterator[list[str | None]]:
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """The first sheet as strings: a workbook holds a million rows at most and is read on the driver."""
-    rows = rows_of(path)
-    head = [str(c or f"column{i}") for i, c in enumerate(next(rows, []))]
-    return spark.createDataFrame([tuple((r + [None] * len(head))[: len(head)]) for r in rows], ", ".join(f"`{c}` string" for c in head))
+    """The first sheets of the workbooks at a path of any of Spark's stores, as strings, under the first one's header.
+
+    A workbook is parsed by the task that reads it, row by row; only the header comes to the driver.
+    """
+    books = spark.read.format("binaryFile").load(path)
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [[str(c or f"column{i}") for i, c in enumerate(next(rows_of(io.BytesIO(x.as_py())), []))] for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.string()))], ["path", "head"])
+
+    first = books.select("path", "content").mapInArrow(heads, "path string, head array<string>").orderBy("path").first()
+    head = first["head"] if first else []
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for x in b.column(0):
+                own = rows_of(io.BytesIO(x.as_py()))
+                next(own, None)
+                while part := list(islice(own, 4096)):
+                    cells = zip(*((r + [None] * len(head))[: len(head)] for r in part))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in cells], [f"c{i}" for i in range(len(head))])
+
+    return books.select("content").mapInArrow(rows, ", ".join(f"c{i} string" for i in range(len(head)))).toDF(*head)

@@ -2,18 +2,28 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from linkloom import proxies
+from linkloom import proxies, queries
 from linkloom.functions.fuzzy import pair_score
 from linkloom.operators import gap, pool, reports
 from linkloom.operators.blocking import best_in_blocks
 from linkloom.operators.directory import candidate_states, location_names, search_space
 from linkloom.oracle import every
-from linkloom.queries import QUERIES, audit
+from linkloom.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 ORACLE = every()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def one_audit():
+    """The audit's plans, and what they keep, are shared by the tests."""
+    made = {}
+    build = queries.audit
+    queries.audit = lambda spark, sf_dir: made.setdefault(sf_dir, build(spark, sf_dir))
+    yield
+    queries.audit = build
+
+
 def _norm(row):
     return tuple((0, "") if v is None else (1, repr(round(v, 6))) if isinstance(v, float) else (1, str(v)) for v in row)
 
@@ -58,7 +68,7 @@ def test_blocks_match_brute_force(spark, monkeypatch):
 
 
 def test_retrieval_and_proposals(spark):
-    a = audit(spark, SF)
+    a = queries.audit(spark, SF)
     space = [r.asDict() for r in search_space(a.known, location_names(a.located)).collect() if r.full]
     states = {}
     for r in candidate_states(a.known, a.located).collect():
@@ -90,7 +100,7 @@ def test_retrieval_and_proposals(spark):
 
 
 def test_accuracy(spark):
-    a = audit(spark, SF)
+    a = queries.audit(spark, SF)
     rows = a.corrected.collect()
     assert len(rows) + a.unverifiable.count() == a.entities().count()
     assert all((r.suggested_ref_id is None) == (r.verdict == "ID corroborated") for r in rows)
@@ -98,7 +108,7 @@ def test_accuracy(spark):
 
 
 def test_empty_inputs(spark):
-    a = audit(spark, SF)
+    a = queries.audit(spark, SF)
     none = a.entities(False).limit(0)
     found = gap.retrieve(none, a.known, a.located)
     assert found.count() == 0
