@@ -121,7 +121,7 @@ def accuracy_report(spark: SparkSession, scored: DataFrame, unverifiable: DataFr
     if baseline is not None:
         book.table("Gains", reports.gains(scored, baseline), True)
     book.sheet("Methodology", ["topic", "rule"], METHODOLOGY)
-    for title, df in reports.accuracy_sheets(scored, every, known).items():
+    for title, df in reports.sorted_sheets(reports.accuracy_sheets(scored, every, known)).items():
         book.table(title, df)
     book.close()
 
@@ -140,8 +140,7 @@ def coverage_report(spark: SparkSession, proposed: DataFrame, path: str, linked:
     if linked is not None:
         book.table("Estate", reports.estate(linked, proposed), True)
     book.sheet("Methodology", ["topic", "rule"], METHODOLOGY)
-    sheets = reports.coverage_sheets(proposed)
-    for title, df in sheets.items():
+    for title, df in reports.sorted_sheets(reports.coverage_sheets(proposed)).items():
         book.table(title, df)
     book.close()
     tiers = {r["tier"]: r["n"] for r in reports.distribution(proposed, "tier").collect()}

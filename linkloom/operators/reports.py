@@ -125,21 +125,43 @@ def population_checks(proposed: DataFrame, supplied: DataFrame) -> DataFrame:
     return a.crossJoin(F.broadcast(supplied.agg(F.countDistinct("entity_id").alias("supplied")))).withColumn("holds", F.expr("rows = entities AND tiered = rows AND supplied = rows"))
 
 
-def accuracy_sheets(corrected: DataFrame, entities: DataFrame, known: DataFrame) -> dict[str, DataFrame]:
+#: A sheet: its rows, and the columns it is sorted by (descending with a minus).
+Sheet = tuple[DataFrame, tuple[str, ...]]
+
+
+def _order(by: tuple[str, ...]) -> list[Column]:
+    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in by]
+
+
+def sorted_sheets(sheets: dict[str, Sheet]) -> dict[str, DataFrame]:
+    return {title: df.orderBy(*_order(by)) for title, (df, by) in sheets.items()}
+
+
+def sheet_places(sheets: dict[str, Sheet]) -> DataFrame:
+    """sheet, place, entity_id, ref_id: where each row stands; a sheet holds a million rows at most, so one task may sort it."""
+    out = None
+    for title, (df, by) in sheets.items():
+        entity = F.col("entity_id") if "entity_id" in df.columns else F.lit(None).cast("long")
+        own = df.select(F.lit(title).alias("sheet"), F.row_number().over(Window.partitionBy(F.lit(title)).orderBy(*_order(by))).alias("place"), entity.alias("entity_id"), *([F.col("ref_id")] if "ref_id" in df.columns else [F.lit(None).cast("long").alias("ref_id")]))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
+def accuracy_sheets(corrected: DataFrame, entities: DataFrame, known: DataFrame) -> dict[str, Sheet]:
     return {
-        "Review_Queue": corrected.where(F.col("verdict").isin(*C.VERDICTS[4:])).orderBy("name_score", "entity_id"),
-        "Geo_Conflict": corrected.where("geo_conflict").orderBy(F.desc("name_score"), "entity_id"),
-        "Address_Divergence": corrected.where("address_divergent").orderBy("address_score", "entity_id"),
-        "Corrections_Recommended": corrected.where("correction_recommended").orderBy(F.desc("suggested_name_score"), "entity_id"),
-        "Duplicate_IDs": duplicate_ids(entities).orderBy("ref_id", "entity_id"),
-        "ID_Conflicts": id_conflicts(entities).orderBy("entity_id"),
-        "Scored_Detail": corrected.orderBy("entity_id"),
-        "Unreferenced_Records": unreferenced(known, entities).orderBy("ref_id"),
+        "Review_Queue": (corrected.where(F.col("verdict").isin(*C.VERDICTS[4:])), ("name_score", "entity_id")),
+        "Geo_Conflict": (corrected.where("geo_conflict"), ("-name_score", "entity_id")),
+        "Address_Divergence": (corrected.where("address_divergent"), ("address_score", "entity_id")),
+        "Corrections_Recommended": (corrected.where("correction_recommended"), ("-suggested_name_score", "entity_id")),
+        "Duplicate_IDs": (duplicate_ids(entities), ("ref_id", "entity_id")),
+        "ID_Conflicts": (id_conflicts(entities), ("entity_id",)),
+        "Scored_Detail": (corrected, ("entity_id",)),
+        "Unreferenced_Records": (unreferenced(known, entities), ("ref_id",)),
     }
 
 
-def coverage_sheets(proposed: DataFrame) -> dict[str, DataFrame]:
-    by = lambda c, *order: proposed.where(c).orderBy(*(order or (F.desc("match_score"), "entity_id")))
+def coverage_sheets(proposed: DataFrame) -> dict[str, Sheet]:
+    by = lambda c, *order: (proposed.where(c), order or ("-match_score", "entity_id"))
     tiered = lambda i: F.col("tier") == C.TIERS[i]
     shared = proposed.where(tiered(0)).withColumn("_n", F.count("*").over(Window.partitionBy("ref_id"))).where("_n > 1").drop("_n")
     return {
@@ -148,7 +170,7 @@ def coverage_sheets(proposed: DataFrame) -> dict[str, DataFrame]:
         "Ambiguous_Rivals": by(tiered(2), "match_margin", "entity_id"),
         "Review_Weak": by(tiered(3)),
         "Parent_Id_Proposals": by(tiered(0) & (F.col("matched_via") == "Location")),
-        "Shared_Id_Proposals": shared.orderBy("ref_id", "entity_id"),
+        "Shared_Id_Proposals": (shared, ("ref_id", "entity_id")),
         "Id_Already_Linked": by(tiered(0) & F.col("id_already_linked")),
         "Status_Flagged": by(F.col("status_note") != ""),
         "No_Credible_Match": by(tiered(4), "entity_id"),

@@ -198,6 +198,35 @@ def _counted(source: str, by: str, **counts: str) -> str:
 _STRONG = f"SELECT *, count(*) OVER (PARTITION BY ref_id) AS holders FROM proposed WHERE tier = {O.q(C.TIERS[0])}"
 _WHEN = lambda c: f"count(*) FILTER (WHERE {c})"
 
+
+
+def _places(sheets: dict[str, tuple[str, str]], order: dict[str, str]) -> str:
+    """sheet, place, entity_id, ref_id of sheets (title: source and condition)."""
+    parts = []
+    for title, (source, where) in sheets.items():
+        parts.append(f"SELECT '{title}' AS sheet, row_number() OVER (ORDER BY {order[title]})::INT AS place, entity_id, ref_id FROM {source} WHERE {where}")
+    return " UNION ALL ".join(parts)
+
+
+_FLAT = ", ".join(f"coalesce({c}[1], '') AS {c}_first, array_to_string({c}, ' | ') AS {c}_all" for c in ("names", "addrs", "cities", "states", "zips"))
+_TIERED = [f"tier = {O.q(t)}" for t in C.TIERS]
+_ACCURACY_SHEETS = {
+    "Review_Queue": ("corrected", f"verdict IN ({O.q(C.VERDICTS[4])}, {O.q(C.VERDICTS[5])})"), "Geo_Conflict": ("corrected", "geo_conflict"), "Address_Divergence": ("corrected", "address_divergent"),
+    "Corrections_Recommended": ("corrected", "correction_recommended"), "Duplicate_IDs": ("(SELECT entity_id, ref_id, count(*) OVER (PARTITION BY ref_id) AS holders FROM entities WHERE ref_id IS NOT NULL)", "holders > 1"),
+    "ID_Conflicts": ("(SELECT entity_id, CAST(NULL AS BIGINT) AS ref_id, ref_id_conflict FROM entities)", "ref_id_conflict"), "Scored_Detail": ("corrected", "true"),
+    "Unreferenced_Records": ("(SELECT CAST(NULL AS BIGINT) AS entity_id, ref_id FROM known)", "ref_id NOT IN (SELECT ref_id FROM entities WHERE ref_id IS NOT NULL)"),
+}
+_ACCURACY_ORDER = {
+    "Review_Queue": "name_score NULLS FIRST, entity_id", "Geo_Conflict": "name_score DESC NULLS LAST, entity_id", "Address_Divergence": "address_score NULLS FIRST, entity_id", "Corrections_Recommended": "suggested_name_score DESC NULLS LAST, entity_id",
+    "Duplicate_IDs": "ref_id, entity_id", "ID_Conflicts": "entity_id", "Scored_Detail": "entity_id", "Unreferenced_Records": "ref_id",
+}
+_COVERAGE_SHEETS = {
+    "Ready_To_Load": _TIERED[0], "Review_Probable": _TIERED[1], "Ambiguous_Rivals": _TIERED[2], "Review_Weak": _TIERED[3], "Parent_Id_Proposals": f"{_TIERED[0]} AND matched_via = 'Location'",
+    "Shared_Id_Proposals": f"{_TIERED[0]} AND ref_id IN (SELECT ref_id FROM proposed WHERE {_TIERED[0]} GROUP BY ref_id HAVING count(*) > 1)", "Id_Already_Linked": f"{_TIERED[0]} AND id_already_linked",
+    "Status_Flagged": "status_note <> ''", "No_Credible_Match": _TIERED[4], "Candidates_Detail": f"NOT ({_TIERED[4]})",
+}
+_COVERAGE_ORDER = {t: "match_score DESC NULLS LAST, entity_id" for t in _COVERAGE_SHEETS} | {"Ambiguous_Rivals": "match_margin NULLS FIRST, entity_id", "Shared_Id_Proposals": "ref_id, entity_id", "No_Credible_Match": "entity_id", "Candidates_Detail": "entity_id"}
+
 _MEASURES = {"corroborated": _WHEN(f"verdict = {O.q(C.VERDICTS[1])}"), "divergent": _WHEN("address_divergent"), "geo_conflict": _WHEN("geo_conflict"), "satellite": _WHEN("address_source = 'Location'")}
 
 ORACLE: dict[str, str] = {
@@ -211,6 +240,13 @@ ORACLE: dict[str, str] = {
  UNION ALL SELECT 'untestable' FROM entities WHERE ref_id IS NULL OR ref_id NOT IN (SELECT ref_id FROM known)) GROUP BY outcome""",
     "baseline_gains": f"""{AUDIT}, {scored('before_raw', _TESTABLE, 'entities', 0, False, False)}, {audited('before')} SELECT measure, baseline, now FROM ({_counted('SELECT * FROM before', 'measure', **_MEASURES)}) AS b(measure, baseline) JOIN ({_counted('SELECT * FROM audited', 'measure', **_MEASURES)}) AS a(measure, now) USING (measure)""",
     "reverse_lookup": f"{_SUGGESTED} SELECT * FROM corrected",
+    "flattened_lists": f"{BASE} SELECT entity_id, {_FLAT} FROM entities",
+    "usable_names": f"{BASE} SELECT entity_id, array_to_string(names, ' | ') AS usable FROM unlinked",
+    "first_entities": f"{BASE} SELECT entity_id, populations FROM unlinked ORDER BY entity_id LIMIT 20",
+    "accuracy_sheets": f"{_SUGGESTED} {_places(_ACCURACY_SHEETS, _ACCURACY_ORDER)}",
+    "coverage_sheets": f"{PROPOSED} {_places({k: ('proposed', v) for k, v in _COVERAGE_SHEETS.items()}, _COVERAGE_ORDER)}",
+    "coverage_by_population": f"{PROPOSED} SELECT population, n, strong, {_share('strong', 'n')} AS share FROM (SELECT population, count(*) AS n, count(*) FILTER (WHERE {_TIERED[0]}) AS strong FROM (SELECT unnest(string_split(populations, '|')) AS population, tier FROM proposed) GROUP BY population)",
+    "proposed_types": f"{PROPOSED} {O.distribution(f'SELECT entity_type FROM proposed WHERE {_TIERED[0]}', 'entity_type')}",
     "blocked_topk": f"{SEARCH} SELECT entity_id, ref_id, {O.round1('stage_a')} AS stage_a FROM found",
     "exact_scores": f"{CANDIDATES} SELECT * REPLACE ({ROUNDED}, {O.round1('stage_a')} AS stage_a) FROM candidates",
     "gap_proposals": f"{PROPOSED} SELECT * REPLACE ({O.round1('stage_a')} AS stage_a, {O.round1('alt1_match_score')} AS alt1_match_score, {O.round1('alt2_match_score')} AS alt2_match_score) FROM proposed",

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom import proxies
-from linkloom.constants import ADDRESS_WEIGHTS, VERDICTS
+from linkloom.constants import ADDRESS_WEIGHTS, TIERS, VERDICTS
 from linkloom.functions import fuzzy, normalize, scores
 from linkloom.operators import accuracy, directory, gap, pool, populations, reports
 from linkloom.plans.audit import Audit
+from linkloom.sources.shared import kept
 
 POPULATIONS = tuple(populations.Population(label, flag, excluded=proxies.EXCLUDED) for label, flag in proxies.POPULATIONS)
 
@@ -270,6 +271,36 @@ def population_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.population_checks(a.proposed, a.rows(False))
 
 
+def flattened_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pool.flattened(audit(spark, sf_dir).entities().select("entity_id", "names", "addrs", "cities", "states", "zips"))
+
+
+def usable_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(spark, sf_dir).entities(False).select("entity_id", F.array_join(normalize.usable_names("names"), " | ").alias("usable"))
+
+
+def first_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The limit of a trial run: so many entities of least id."""
+    return audit(spark, sf_dir).entities(False).select("entity_id", "populations").orderBy("entity_id").limit(20)
+
+
+def coverage_by_population(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.by_population(audit(spark, sf_dir).proposed, F.col("tier") == TIERS[0], "strong")
+
+
+def proposed_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.distribution(audit(spark, sf_dir).proposed.where(F.col("tier") == TIERS[0]), "entity_type")
+
+
+def accuracy_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a = audit(spark, sf_dir)
+    return reports.sheet_places(reports.accuracy_sheets(kept(a.corrected), a.entities(), a.known))
+
+
+def coverage_sheets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.sheet_places(reports.coverage_sheets(kept(audit(spark, sf_dir).proposed)))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -277,6 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         split_name, indel_ratio, token_sort_ratio, token_set_ratio, pair_score, weighted_score, verdict, tier, location_identity, location_index, location_name_filter, candidate_states,
         search_space, identity_counts, location_counts, pool_sizes, blocked_topk, exact_scores, accuracy_audit, name_score, addr_scores, audited_verdicts, corroborated_by_population, proposed_tiers, reverse_lookup, gap_proposals, margin_rivals, exact_name_geo, funnel, outcome_overall, verdict_distribution, tier_distribution,
         by_entity_type, by_population, baseline_gains, duplicate_ids, id_conflicts, unverifiable, unreferenced_reference, estate_coverage, load_flags, strong_evidence, population_checks,
+        flattened_lists, usable_names, first_entities, coverage_by_population, proposed_types, accuracy_sheets, coverage_sheets,
     )
 }
 QUERIES |= {
