@@ -35,6 +35,8 @@ WORDS, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.999, 128
 BLOCK, BLOCK_BYTES = 1024, 6 << 20
 #: Bytes of a shingle's hash that are shuffled.
 WIDTH = 6
+#: Bits of a bitmap of ids for each id, and in all at most.
+MARKS, MOST_MARKS = 16, 1 << 26
 
 
 def bands_for(threshold: float = THRESHOLD, recall: float = RECALL, hashes: int = HASHES) -> tuple[int, int]:
@@ -202,7 +204,10 @@ def _linked(df: DataFrame, n: int, threshold: float, recall: float) -> tuple[Dat
     # At most one entry for each band.
     at = met.join(wanted, ["band", "h"]).groupBy("node").agg(F.collect_list(F.struct("band", "h", "parts")).alias("at"))
     ready = classes.join(at, "node").select(F.col("node.id").alias("_id"), "node", "copies", "bands", "at")
-    texts = df.select(F.col("doc_id").cast("long").alias("_id"), "text").join(ready, "_id")
+    ready = checkpoint(ready)
+    # Most texts are in no bucket with others: they aren't moved.
+    texts = df.select(F.col("doc_id").cast("long").alias("_id"), "text")
+    texts = marked(texts, F.col("_id"), ready.select(F.col("_id").alias("id")), "_may").where("_may").drop("_may").join(ready, "_id")
     found = checkpoint(_compare(texts, n, threshold))
     nodes = components(found.select(F.col("node").alias("u"), F.col("root").alias("v")))
     return own, classes, found, nodes.withColumnRenamed("u", "node")
@@ -252,6 +257,21 @@ def _compare(texts: DataFrame, n: int, threshold: float) -> DataFrame:
     return found.select(F.struct("id", "fp").alias("node"), F.struct(F.col("rid").alias("id"), F.col("rfp").alias("fp")).alias("root"), "links")
 
 
+def marked(rows: DataFrame, key: F.Column, ids: DataFrame, name: str) -> DataFrame:
+    """rows with a boolean column of that name: whether the key may be among the ids (of column id); false is certain, as are null keys.
+
+    A bitmap of MARKS bits for each id, MOST_MARKS at most, broadcast as 64-bit words: beyond that more rows are marked, none fewer.
+    """
+    size = 1 << max(10, min(MOST_MARKS, MARKS * max(1, ids.count()) - 1).bit_length())
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(size))
+    bit = place(F.col("id"))
+    bits = ids.select(bit.alias("bit")).select(F.shiftright("bit", 6).alias("word"), F.expr("shiftleft(1L, cast(bit % 64 AS int))").alias("b"))
+    bits = F.broadcast(bits.groupBy("word").agg(F.bit_or("b").alias("bits")))  # MOST_MARKS bits at most
+    own = rows.withColumn("bit", place(key)).withColumn("word", F.shiftright("bit", 6)).join(bits, "word", "left")
+    hit = F.expr("shiftrightunsigned(bits, cast(bit % 64 AS int)) & 1") == 1
+    return own.withColumn(name, F.coalesce(hit & key.isNotNull(), F.lit(False))).drop("bit", "word", "bits")
+
+
 def keep_one(df: DataFrame) -> DataFrame:
     """The rows of df, all columns, without all but one of each class: its row of least id; texts without words and rows without id stay."""
     names = df.columns
@@ -264,18 +284,24 @@ def keep_one(df: DataFrame) -> DataFrame:
     kept = classes.join(others, "node", "left_anti").select(F.col("node.id").alias("id"), F.col("node.fp").alias("fp"))
     bare = sketches.where("fp IS NULL AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "fp")
     kept = checkpoint(kept.unionByName(bare).distinct())
-    once = plain.join(kept.select("id").distinct(), key == F.col("id"), "left_semi").unionByName(plain.where(key.isNull()))
     # Ids given to several rows: their fingerprints tell which rows are meant.
-    many = plain.groupBy(key.alias("id")).agg(F.count("*").alias("n")).where("n > 1 AND id IS NOT NULL").select("id")
+    many = sketches.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.count("*").alias("n")).where("n > 1").select("id")
+    many = checkpoint(many)
+    gone = sketches.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct().join(kept.select("id").distinct(), "id", "left_anti")
+    # Only rows that may go, or whose id isn't their own, are moved.
+    split = marked(plain, key, checkpoint(gone.unionByName(many).distinct()), "may")
+    sure = split.where("NOT may").drop("may")
+    rest = split.where("may").drop("may")
+    once = sure.unionByName(rest.join(kept.select("id").distinct(), key == F.col("id"), "left_semi").join(many, key == F.col("id"), "left_anti"))
     if many.isEmpty():
         return once.toDF(*names)
 
-    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def fingerprinted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(own) if len(own := set_of(words, WORDS)) else None for words in hashed(values(b.column(text_at)))]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(fps, pa.binary())], [*b.schema.names, "mark"])
 
-    again = map_rows(plain.join(many, key == F.col("id"), "left_semi"), marked, [T.StructField("mark", T.BinaryType())])
+    again = map_rows(rest.join(many, key == F.col("id"), "left_semi"), fingerprinted, [T.StructField("mark", T.BinaryType())])
     again = again.join(kept, (key == F.col("id")) & F.col("mark").eqNullSafe(F.col("fp")), "left_semi")
     texts = again.where("mark IS NOT NULL").withColumn("key", key).dropDuplicates(["key", "mark"]).drop("key")
-    return once.join(many, key == F.col("id"), "left_anti").unionByName(again.where("mark IS NULL").drop("mark")).unionByName(texts.drop("mark")).toDF(*names)
+    return once.unionByName(again.where("mark IS NULL").drop("mark")).unionByName(texts.drop("mark")).toDF(*names)

@@ -73,6 +73,17 @@ def test_keep_one_with_repeated_ids_and_clashing_names(spark):
     assert sorted(r.doc_id for r in once.collect()) == [2, 3] and once.columns == names
 
 
+def test_marks_miss_nothing(spark, monkeypatch):
+    rows = spark.createDataFrame([(i,) for i in range(2000)] + [(None,)], "x long")
+    ids = spark.createDataFrame([(i,) for i in range(0, 2000, 7)], "id long")
+    for most, share in ((1 << 26, 0.25), (1 << 10, 1.0)):
+        monkeypatch.setattr(neardup, "MOST_MARKS", most)
+        got = {r.x: r.may for r in neardup.marked(rows, rows["x"], ids, "may").collect()}
+        assert len(got) == 2001 and got[None] is False and all(got[i] for i in range(0, 2000, 7))
+        assert sum(got.values()) <= 2001 * share
+    assert not any(r.may for r in neardup.marked(rows, rows["x"], ids.limit(0), "may").collect())
+
+
 def test_bands_reach_recall():
     bands, rows = neardup.bands_for(0.8, 0.999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.999
