@@ -1,12 +1,16 @@
 """A training-data pipeline: each stage works on all that its predecessor kept.
 
 run() applies the stages to documents one after the other, each written as Parquet
-below the shared folder of spark.checkpoint.dir and read again.
+below the shared folder of spark.checkpoint.dir and read again; what a stage has read is removed when its own table is written.
+
+Edge cases, of every stage: null and empty texts count as texts without words or letters (language_id drops them, the others keep them as
+they are); texts of any length are read whole; null ids are kept and equal no other id; repeated rows are documents of
+their own to all but near_duplicates, which keeps one of them; ties go to the least id; an empty table gives an empty one; all columns but the last stage's
+are those of the documents, extra ones of any names included.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -14,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import bpe, decontam, langid, neardup, pii
-from linkloom.llm.common import fresh, named, table
+from linkloom.llm.common import fresh, named, remove, shared_folder, table
 
 #: Least share of a text's n-grams that the profile of its best language must hold.
 LEAST_SCORE = 0.25
@@ -24,7 +28,7 @@ ORACLE_SQL: str | None = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the model knows; texts without letters and those no language claims go."""
+    """Documents in a language that the model knows; null texts, texts without letters and those no language claims go."""
     model = langid.fit(docs)
     names = tuple(docs.columns)
     lang, score = fresh("predicted", names), fresh("predicted_score", names)
@@ -33,23 +37,26 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by a Jaccard similarity of 0.8 of five-word shingles: the one of least id."""
+    """One document of each group linked by a Jaccard similarity of 0.8 of five-word shingles: the one of least id.
+
+    Texts without words and rows with a null id stay.
+    """
     return neardup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item; null and empty texts hold none."""
     return decontam.drop(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal data masked in text, n_chars as it is then."""
+    """All documents, personal data masked in text, n_chars as it is then (null for null texts)."""
     out = pii.redact(docs, pii.fit(docs))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*named(docs.columns))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and the token ids of every document."""
+    """doc_id, n_tokens and the token ids of every document; none for null and empty texts."""
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -67,10 +74,13 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="linkloom-")
-    top = f"{top}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    top = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
-        stage(spark, docs, sf_dir).write.parquet(f"{top}/{k}_{name}")
-        docs = spark.read.parquet(f"{top}/{k}_{name}")
+        path = f"{top}/{k}_{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return docs

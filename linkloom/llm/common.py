@@ -47,6 +47,12 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a table that this program has written."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
+
+
 def fold_of(doc_id) -> F.Column:
     """crc32 of the id's decimal text modulo 4; fold 2 is held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % 4

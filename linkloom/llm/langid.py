@@ -94,14 +94,16 @@ class Model:
         places = list(probes(hashes, len(self.slices[0]).bit_length() - 1))
         raw = np.zeros(len(self.languages))
         for w, slices in enumerate(self.slices):
-            mask = np.bitwise_and.reduce([slices[at] for at in places])
+            mask = slices[places[0]]
+            for at in places[1:]:
+                mask &= slices[at]
             here = range(64 * w, min(64 * w + 64, len(self.languages)))
             if len(here) <= 16:
                 times = np.bincount(mask.astype(np.int64))
                 kinds = np.flatnonzero(times).astype(np.uint64)
                 times = times[kinds.astype(np.int64)]
             else:
-                kinds, times = np.unique(mask, return_counts=True)
+                kinds, times = np.unique(mask.astype(np.uint64), return_counts=True)
             for i in here:
                 raw[i] = times[(kinds >> np.uint64(i - 64 * w)) & np.uint64(1) == 1].sum()
         return len(hashes), np.maximum(0.0, (raw - len(hashes) * self.wrong) / (1.0 - self.wrong))
@@ -121,10 +123,13 @@ def build(profiles: dict[str, np.ndarray]) -> Model:
     bits = BITS
     while most * PROBES > FILL * (1 << bits):
         bits += 1
-    slices = [np.zeros(1 << bits, np.uint64) for _ in range(0, len(languages), 64)]
+    # The narrowest numbers that hold a word's languages, as the filter is read at random.
+    width = lambda n: next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if n <= 8 * k().itemsize)
+    slices = [np.zeros(1 << bits, width(min(64, len(languages) - i))) for i in range(0, len(languages), 64)]
     wrong = np.zeros(len(languages))
     for i, x in enumerate(languages):
-        own, bit = slices[i // 64], np.uint64(1 << (i % 64))
+        own = slices[i // 64]
+        bit = own.dtype.type(1 << (i % 64))
         for p in probes(profiles[x], bits):
             own[p] |= bit
         wrong[i] = min(0.5, np.count_nonzero(own & bit) / len(own)) ** PROBES
@@ -168,7 +173,7 @@ def fit(df: DataFrame) -> Model:
 
 def predict(df: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """The columns to keep, the predicted language and its score of every row; the rows need a text column."""
-    sent = df.sparkSession.sparkContext.broadcast(model)  # 8 bytes for each position and 64 languages
+    sent = df.sparkSession.sparkContext.broadcast(model)  # 8 bytes at most for each position and 64 languages
     at = keep.index("text") if "text" in keep else len(keep)
     plain = fresh("text", keep)
     rows = df.select(*named(keep), *([] if "text" in keep else [F.col("text").alias(plain)]))

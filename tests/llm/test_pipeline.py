@@ -65,3 +65,29 @@ def test_empty_table(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0
+
+
+def test_clashing_columns_and_nulls(spark):
+    """Stages keep extra columns whatever their names, rows without id, and equal rows as they should."""
+    source = spark.read.parquet(f"{SF}/documents.parquet").limit(30)
+    extra = spark.createDataFrame([(None, source.first().text, "en", "s", 5), (10**9, "x " * 60_000 + "the and of that with", "en", None, None), (10**9 + 1, None, None, None, None)], source.schema)
+    names = ["predicted", "PREDICTED_SCORE", "_score", "times", "mark", "id", "fp", "may", "a.b", "c0", "bit"]
+    docs = source.unionByName(extra)
+    docs = docs.select("*", *(docs["doc_id"].alias(f"x{i}") for i in range(len(names)))).toDF(*docs.columns, *names)
+    for name, stage in cp.STAGES[:4]:
+        docs = spark.createDataFrame(stage(spark, docs, SF).collect(), docs.schema)
+        assert docs.columns == [*source.columns, *names]
+        rows = docs.collect()
+        assert all(r["a.b"] == r.doc_id == r["_score"] == r.bit for r in rows), name
+        if name == "language_id":
+            assert None in {r.doc_id for r in rows} and 10**9 + 1 not in {r.doc_id for r in rows}
+    assert docs.count() > 10
+
+
+def test_run_keeps_only_its_result(spark):
+    import os
+
+    out = cp.run(spark, SF)
+    assert out.count() > 0 and out.columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+    top = os.path.dirname(out.inputFiles()[0].removeprefix("file:"))
+    assert os.listdir(os.path.dirname(top)) == [os.path.basename(top)]
