@@ -177,9 +177,10 @@ def features(text: str, spans: list[tuple[int, int]]) -> list[list[str]]:
     shapes = [shape(text[i:j]) for i, j in spans]
     out = []
     for k, (i, j) in enumerate(spans):
-        digits = sum(c == "0" for c in shapes[k])
+        numbers = "".join(_DIGIT.findall(text[i:j]))
+        sound = f"l:{luhn(numbers)}" if 13 <= len(numbers) <= LONGEST else "-l"  # a card's check digit
         near = lambda o: abs(o - k) == 1 and 0 <= o < len(spans) and min(abs(spans[o][0] - j), abs(i - spans[o][1])) <= 1
-        out.append(["bias", "s:" + shapes[k], "c:" + re.sub(r"0+", "0", shapes[k]), f"n:{min(digits, 20)}", "@" if "@" in shapes[k] else "-@", "p:" + (shapes[k - 1] if near(k - 1) else ""), "f:" + (shapes[k + 1] if near(k + 1) else "")])
+        out.append(["bias", "s:" + shapes[k], "c:" + re.sub(r"0+", "0", shapes[k]), f"n:{min(len(numbers), 20)}", sound, "@" if "@" in shapes[k] else "-@", "p:" + (shapes[k - 1] if near(k - 1) else ""), "f:" + (shapes[k + 1] if near(k + 1) else "")])
     return out
 
 
