@@ -87,4 +87,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE: dict[str, str] = {}
+#: Shingle sets, their sizes of intersection by a join on shingles, and the least id that links reach.
+JACCARD = """WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\pL\\pN\\pM]+') AS w FROM documents),
+ shingles AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM words WHERE len(w) > 0),
+ sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+ shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+ links AS MATERIALIZED (SELECT a, b, s.n = x.n AND x.n = y.n AS same FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE s.n * 1.8 >= 0.8 * (x.n + y.n) - 1e-9),
+ reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b)
+ SELECT d.doc_id, least(d.doc_id, coalesce(r.least, d.doc_id)) AS class_id, coalesce(n.links, 0) AS n_links, coalesce(n.copies, 0) AS n_copies FROM documents d
+ LEFT JOIN (SELECT a, min(b) AS least FROM reach GROUP BY a) r ON r.a = d.doc_id LEFT JOIN (SELECT a, count(*) AS links, count(*) FILTER (WHERE same) AS copies FROM links GROUP BY a) n ON n.a = d.doc_id"""
+
+ORACLE: dict[str, str] = {"op8_jaccard_join": JACCARD}

@@ -102,3 +102,16 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 102), (102, 101), (7, 7), (None, 3)]
     got = dict(components(spark.createDataFrame(edges, "u long, v long")).collect())
     assert all(got[i] == 0 for i in range(41)) and got[101] == got[102] == got[100] == 100 and len(got) == 44
+
+
+def test_query_matches_sql(spark):
+    import duckdb
+
+    from linkloom.llm.queries import ORACLE, QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{sf}/documents.parquet'")
+    want = sorted(con.sql(ORACLE["op8_jaccard_join"]).fetchall())
+    got = QUERIES["op8_jaccard_join"](spark, sf).select("doc_id", "class_id", "n_links", "n_copies").collect()
+    assert sorted(map(tuple, got)) == want and any(r.n_links for r in got)
