@@ -15,8 +15,8 @@ that merely holds such a word (`related-work`) is no mark, and inside an article
 What is left of the articles (else of main, else of the body) is cut into
 blocks: character references decoded, white space inside a block one space, blocks joined by an empty line.
 
-The templates are broadcast by host if all hosts' together have at most BROADCAST entries, and joined by host otherwise, with
-the pages of a host dealt to SALTS parts.
+The templates are broadcast if all hosts' together have at most BROADCAST entries. Otherwise the hashes of each page are joined to them, with
+the pages of a host dealt to SALTS parts, and a page meets those of its own that are templates.
 
 Edge cases: null or empty html gives an empty text; unclosed and crossing tags, comments and truncated pages are
 read as far as they go; nesting of any depth is read without recursion, in time linear in the page; pages without a host have no
@@ -29,13 +29,12 @@ import html as entities
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from linkloom.llm.common import batches_of, checkpoint, values
+from linkloom.llm.common import batches_of, checkpoint, values, written
 
 MANY, SHARE, BROADCAST, SALTS = 4, 0.3, 500_000, 64
 HALF, WHOLE = 0.5, 0.8
@@ -271,7 +270,7 @@ def host_of(url) -> F.Column:
 
 
 def templates(df: DataFrame) -> DataFrame:
-    """host, found: the hashes of each host's template subtrees."""
+    """host, h: the hashes of each host's template subtrees, a row for each."""
     rows = df.select(host_of(F.col("url")).alias("host"), "html").where("host IS NOT NULL")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,32 +290,46 @@ def templates(df: DataFrame) -> DataFrame:
     found = checkpoint(found)
     pages = found.where("h IS NULL").select("host", F.col("n").alias("pages"))
     times = found.where("h IS NOT NULL")
-    return times.join(pages, "host").where((F.col("n") >= SHARE * F.col("pages")) | ~F.col("part") & (F.col("n") >= ENOUGH)).groupBy("host").agg(F.collect_list("h").alias("found"))
+    return times.join(pages, "host").where((F.col("n") >= SHARE * F.col("pages")) | ~F.col("part") & (F.col("n") >= ENOUGH)).select("host", "h").distinct()
+
+
+def _found(rows: DataFrame, known: DataFrame) -> DataFrame:
+    """rows (written, with rid) with found, the template hashes among a page's own: no list grows with a host."""
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out() -> Iterator[tuple]:
+            for b in batches:
+                for rid, host, page in zip(*(values(c) for c in b.columns)):
+                    for h in hashes(parse(page or "")):
+                        yield rid, host, h
+
+        yield from batches_of(out(), pa.schema([("rid", pa.int64()), ("host", pa.string()), ("h", pa.int64())]), 65536)
+
+    salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    each = rows.where("host IS NOT NULL").select("rid", "host", "html").mapInArrow(own, "rid long, host string, h long").withColumn("salt", F.pmod(F.xxhash64("rid"), F.lit(SALTS)).cast("int"))
+    hits = each.join(salted, ["host", "h", "salt"]).groupBy("rid").agg(F.collect_list("h").alias("found"))
+    return rows.join(hits, "rid", "left")
 
 
 def extract(df: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row of page_id, url, html."""
     known = checkpoint(templates(df))
-    total = known.agg(F.coalesce(F.sum(F.size("found") + 4), F.lit(0))).first()[0]
     rows = df.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_of(F.col("url")).alias("host"))
-    if total <= BROADCAST:
-        sent = df.sparkSession.sparkContext.broadcast({r["host"]: np.array(r["found"], np.int64) for r in known.toLocalIterator()})
+    sent = None
+    if known.count() <= BROADCAST:
+        by: dict[str, list[int]] = {}
+        for r in known.toLocalIterator():
+            by.setdefault(r["host"], []).append(r["h"])
+        sent = df.sparkSession.sparkContext.broadcast({host: frozenset(own) for host, own in by.items()})  # at most BROADCAST hashes
         rows = rows.select("page_id", "url", "html", "host")
     else:
-        sent = None
-        salted = known.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")).join(salted, ["host", "salt"], "left").select("page_id", "url", "html", "found")
+        rows = _found(written(rows.withColumn("rid", F.monotonically_increasing_id())), known).select("page_id", "url", "html", "found")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out() -> Iterator[tuple]:
-            sets: dict = {}
             for b in batches:
                 for page_id, url, page, found in zip(*(values(c) for c in b.columns)):
-                    key = found if sent else tuple(found or ())
-                    if key not in sets:
-                        sets.clear() if len(sets) > 256 else None
-                        sets[key] = frozenset(sent.value[key].tolist() if key in sent.value else ()) if sent else frozenset(key)
-                    text = text_of(page, sets[key])
+                    text = text_of(page, sent.value.get(found, frozenset()) if sent else frozenset(found or ()))
                     yield page_id, url, text, len(text)
 
         yield from batches_of(out(), pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())]))
