@@ -32,7 +32,7 @@ from linkloom.llm.graph import components
 
 WORDS, THRESHOLD, RECALL, HASHES = 5, 0.8, 0.999, 128
 #: Classes, and bytes of shingle sets, that one side of a task holds.
-BLOCK, BLOCK_BYTES = 1024, 6 << 20
+BLOCK, BLOCK_BYTES = 512, 3 << 20
 #: Bytes of a shingle's hash that are shuffled.
 WIDTH = 6
 #: Bits of a bitmap of ids for each id, and in all at most.
