@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import bpe, decontam, langid, neardup, pii
-from linkloom.llm.common import fresh, named, remove, shared_folder, table
+from linkloom.llm.common import bound_batches, fresh, named, remove, shared_folder, table
 
 #: Least share of a text's n-grams that the profile of its best language must hold.
 LEAST_SCORE = 0.25
@@ -29,6 +29,7 @@ ORACLE_SQL: str | None = None
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows; null texts, texts without letters and those no language claims go."""
+    bound_batches(spark)
     model = langid.fit(docs)
     names = tuple(docs.columns)
     lang, score = fresh("predicted", names), fresh("predicted_score", names)
@@ -41,22 +42,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Texts without words and rows with a null id stay.
     """
+    bound_batches(spark)
     return neardup.keep_one(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item; null and empty texts hold none."""
+    bound_batches(spark)
     return decontam.drop(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data masked in text, n_chars as it is then (null for null texts)."""
+    bound_batches(spark)
     out = pii.redact(docs, pii.fit(docs))
     return out.withColumn("n_chars", F.length("text").cast("long")).select(*named(docs.columns))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens and the token ids of every document; none for null and empty texts."""
+    bound_batches(spark)
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")

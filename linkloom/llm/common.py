@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch, unless the session says otherwise: ten thousand whole texts are too many to hold at once on either side.
+BATCH_ROWS = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key, "10000") == "10000":  # Spark's own default
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder of spark.checkpoint.dir; one of this machine only where that is unset and the session has no other machines."""
     if found := spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():

@@ -147,12 +147,13 @@ def fit(df: DataFrame) -> Model:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts: dict[str, list] = {}
-            for text, lang in zip(values(b.column(0)), values(b.column(1))):
-                texts.setdefault(lang, []).append(grams(text))
-            for lang, found in texts.items():
-                h, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)], ["lang", "g", "n"])
+            for i in range(0, b.num_rows, 128):  # a few texts' n-grams at a time
+                texts: dict[str, list] = {}
+                for text, lang in zip(*(values(c.slice(i, 128)) for c in b.columns)):
+                    texts.setdefault(lang, []).append(grams(text))
+                for lang, found in texts.items():
+                    h, n = np.unique(np.concatenate(found), return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([lang], pa.string()).take(pa.array(np.zeros(len(h), np.int64))), pa.array(h.view(np.int64)), pa.array(n)], ["lang", "g", "n"])
 
     counted = sample.mapInArrow(count, "lang string, g long, n long").groupBy("lang", "g").agg(F.sum("n").alias("n"))
     share = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linkloom.llm import ann, bpe, chat, decontam, html, langid, lm, neardup, pii, toxicity
-from linkloom.llm.common import fold_of, table
+from linkloom.llm.common import bound_batches, fold_of, table
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +88,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
+
+
+def _bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def call(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
+        return query(spark, sf_dir)
+
+    return call
+
+
+QUERIES = {name: _bounded(query) for name, query in QUERIES.items()}
+
 #: Shingle sets, their sizes of intersection by a join on shingles, and the least id that links reach.
 JACCARD = """WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\pL\\pN\\pM]+') AS w FROM documents),
  shingles AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i : i + 4], ' '))) AS s FROM words WHERE len(w) > 0),
