@@ -98,3 +98,42 @@ def test_long_names_are_scored_whole():
     assert (low == high).all() and low[0] == fuzzy.pair_score(long + " more", long)
     low, high = fuzzy.Names([long, "x"]).bounds("word1 word2")
     assert low[0] <= fuzzy.pair_score("word1 word2", long) <= high[0]
+
+
+def test_bounds_hold_the_score_and_are_it_without_words_in_common():
+    rng = random.Random(3)
+    words = ["red", "ring", "two", "ab", "a", "b", "steel", "ring", "é"]
+    text = lambda: " ".join(rng.choice(words) for _ in range(rng.randint(0, 5)))
+    for _ in range(20):
+        names, asked = [text() for _ in range(30)] + ["x" * 70 + " red"], [text() for _ in range(8)] + ["y " * 40]
+        low, high = fuzzy.Names(names).every_bounds(asked)
+        for i, a in enumerate(asked):
+            for j, b in enumerate(names):
+                score = fuzzy.pair_score(a, b)
+                assert low[i, j] - 1e-9 <= score <= high[i, j] + 1e-9
+                assert low[i, j] != high[i, j] or low[i, j] == score
+                if {*a.split()} <= {*b.split()}:  # words within the other's are scored at once
+                    assert low[i, j] == high[i, j]
+
+
+def test_a_record_finds_what_each_pair_would(monkeypatch):
+    rng = random.Random(4)
+    words = ["red", "ring", "two", "ab", "steel", "nut", ""]
+    text = lambda: " ".join(filter(None, (rng.choice(words) for _ in range(rng.randint(0, 4)))))
+    form = lambda: (t := text(), t, t.replace("nut", "").strip())
+    line = lambda: (rng.choice(["", "1", "2", "3"]), rng.choice(["", "main st", "main ave", "oak rd"]))
+    for _ in range(40):
+        others = [(form(), rng.choice(["Name", "Alias", "Location"])) for _ in range(rng.randint(0, 30))]
+        lines = [line() for _ in range(rng.randint(0, 30))]
+        record = scores.Record(others, lines)
+        for _ in range(20):
+            names, own = [form() for _ in range(rng.randint(0, 3))], [line() for _ in range(rng.randint(0, 3))]
+            assert record.best_name(names) == scores.best_name(names, others)
+            assert record.best_address(own) == scores.best_address(own, lines)
+    # However many pairs: a name is compared once, and then only with those that can be the best.
+    calls = []
+    kernel = scores.pair_score
+    monkeypatch.setattr(scores, "pair_score", lambda a, b: calls.append(1) or kernel(a, b))
+    record = scores.Record([((f"red {x} {i}",) * 3, "Location") for i, x in enumerate(["ring", "nut", "bolt", "gear", "axle"] * 50)], [])
+    assert {record.best_name([("red gear 3",) * 3]) for _ in range(1000)} == {(100.0, "red gear 3", "red gear 3", "Location", 3)}
+    assert len(calls) < 10
