@@ -119,3 +119,23 @@ def test_empty_inputs(spark):
 def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert entry.entry(spark).columns
+
+
+def test_records_of_many_pairs_are_dealt_out(spark, monkeypatch):
+    from linkloom.operators import accuracy, scoring
+
+    a = queries.audit(spark, SF)
+    monkeypatch.setattr(scoring, "PAIRS", 2)
+    assert sorted(map(str, accuracy.audit(a.entities(), a.known, a.located).collect())) == sorted(map(str, a.audited.collect()))
+
+
+def test_populations_that_are_alike_are_built_at_once(spark):
+    from linkloom.operators import populations
+
+    r, every = proxies.relations(spark, SF), queries.POPULATIONS
+    assert populations.alike([*every, populations.Population("x", "is_client")]) == [list(every), [populations.Population("x", "is_client")]]
+    for build in (populations.with_id, populations.without_id):
+        at_once = build(r, *every)
+        for p in every[:3]:
+            one = build(r, p)
+            assert sorted(map(str, at_once.where(f"{p.flag} = 1").select(*one.columns).collect())) == sorted(map(str, one.collect()))
