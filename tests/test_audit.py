@@ -139,3 +139,28 @@ def test_populations_that_are_alike_are_built_at_once(spark):
         for p in every[:3]:
             one = build(r, p)
             assert sorted(map(str, at_once.where(f"{p.flag} = 1").select(*one.columns).collect())) == sorted(map(str, one.collect()))
+
+
+def test_chunks_score_few_pairs_one_by_one(monkeypatch):
+    from linkloom.operators import blocking
+
+    names = [f"{a} {b} {c}" for a in ("small", "large", "cold") for b in ("ring", "nut", "bolt", "pin") for c in ("steel", "brass", "tin")] + ["red", ""]
+    asked = [[n, f"{n} inc"] for n in (*names[::5], "ring of small steel", "nothing alike", "")]
+    want = [sorted((-max(pair_score(a, n), pair_score(b, f"{n} inc")), i) for i, n in enumerate(names))[:3] for a, b in asked]
+    want = [[x for x in best if -x[0] >= 55] for best in want]
+    calls = []
+    monkeypatch.setattr(blocking, "pair_score", lambda a, b: calls.append(1) or pair_score(a, b))
+    monkeypatch.setattr(blocking, "CELLS", 100)
+    assert list(blocking._Chunk([[n, f"{n} inc"] for n in names], [[i] for i in range(len(names))]).every_best(asked, 3, 55.0)) == want
+    assert len(calls) < len(asked) * len(names) // 4
+
+
+def test_rules_of_names_are_those_of_rows(spark):
+    from linkloom.operators.directory import name_rules, ruled
+
+    a = queries.audit(spark, SF)
+    made = spark.createDataFrame([(i, n, c) for i in range(8) for n, c in (("The East Inc", "x"), ("Reid " + "ab"[i % 2], None), (f"Only {i}", ""), ("Inc", None), (f"Salem {i}", f"salem {i}"))], "ref_id long, name string, city string")
+    for located in (a.located, made):
+        rows, rules = location_names(located), name_rules(located)
+        assert sorted(map(str, rules.collect())) == sorted(map(str, rows.select(*rules.columns).distinct().collect()))
+        assert sorted(map(str, ruled(located, rules).collect())) == sorted(map(str, rows.select("ref_id", "name", "core", "usable").distinct().collect()))
