@@ -164,3 +164,43 @@ def test_rules_of_names_are_those_of_rows(spark):
         rows, rules = location_names(located), name_rules(located)
         assert sorted(map(str, rules.collect())) == sorted(map(str, rows.select(*rules.columns).distinct().collect()))
         assert sorted(map(str, ruled(located, rules).collect())) == sorted(map(str, rows.select("ref_id", "name", "core", "usable").distinct().collect()))
+
+
+def test_names_of_many_targets_fill_the_best(monkeypatch):
+    from linkloom.operators import blocking
+
+    names = [f"{a} {b} {c}" for a in ("small", "large", "cold") for b in ("ring", "nut", "bolt", "pin") for c in ("steel", "brass", "tin")]
+    asked = [[n] for n in (*names[::7], "ring of small steel", "tin pin small")]
+    ids = [[100 * j + i for j in range(3)] for i in range(len(names))]
+    want = [sorted((-s, x) for n, own in zip(names, ids) if (s := pair_score(a, n)) >= 55 for x in own)[:3] for (a,) in asked]
+    calls = []
+    monkeypatch.setattr(blocking, "pair_score", lambda a, b: calls.append(1) or pair_score(a, b))
+    assert list(blocking._Chunk([[n] for n in names], ids).every_best(asked, 3, 55.0)) == want
+    # An equal name's three targets are all of the best: no other is scored.
+    calls.clear()
+    assert list(blocking._Chunk([[n] for n in names], ids).every_best([[n] for n in names], 3, 55.0)) == [[(-100.0, x) for x in own] for own in ids]
+    assert not calls
+    assert list(blocking._Chunk([["red"], ["red ring"]], [[1], [2]]).every_best([["red"], ["none"]], 3, 55.0)) == [[(-100.0, 1), (-pair_score("red", "red ring"), 2)], []]
+
+
+def test_parts_of_a_block_match_brute_force(spark, monkeypatch):
+    from linkloom.operators import blocking
+
+    monkeypatch.setattr(blocking, "CHUNK", 3)
+    monkeypatch.setattr(blocking, "MET", 2)
+    names = [f"{a} {b}" for a in ("small", "large", "cold") for b in ("ring", "nut", "bolt")]
+    asked = [(b, [n]) for n in names for b in "AB"]
+    targets = [(100 + i, "AB"[i % 2], [n]) for i, n in enumerate(names * 4)]
+    found = blocking.best_of_names(spark.createDataFrame(asked * 2, "block string, forms array<string>"), spark.createDataFrame(targets, "target long, block string, forms array<string>"), 3, 55.0)
+    got = sorted((r.block, r.forms[0], -r.score, r.target) for r in found.collect())
+    assert got == sorted((b, n, *x) for b, (n,) in asked for x in sorted((-pair_score(n, m), t) for t, block, (m,) in targets if block == b and pair_score(n, m) >= 55)[:3])
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_parents_between_the_ends_are_counted(spark, monkeypatch, parts):
+    from linkloom.operators import directory
+
+    monkeypatch.setattr(directory, "PARTS", parts)
+    rows = [(i, f"Held by {n}{' Inc' * (i % 2)}", "x") for n in range(1, 9) for i in range(n)]
+    rules = directory.name_rules(spark.createDataFrame(rows * 2, "ref_id long, name string, city string"))
+    assert {(r.core, r.usable) for r in rules.collect()} == {(f"held by {n}", n < 5) for n in range(1, 9)}
