@@ -29,6 +29,10 @@ def test_lines_of_all_locations_are_met(spark, large):
     assert (row.number_score, row.body_score, row.address_score, row.address_source) == (100.0, 100.0, 100.0, "Location")
 
 
+def test_names_of_all_locations_corroborate(spark, large):
+    assert [tuple(r) for r in queries.by_entity_type(spark, SF).collect()] == [("Hospital", 1, 1, 1.0)]
+
+
 def test_pieces_of_a_record_score_as_one(spark, monkeypatch):
     r = proxies.relations(spark, SF)
     a = Audit(r, queries.POPULATIONS, [("Hospital", r["identity"])], [r["location"]])
