@@ -1,6 +1,7 @@
 """Queries over every location of a record, however many."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from linkloom import proxies, queries
 from linkloom.operators import accuracy, directory, scoring
@@ -33,6 +34,29 @@ def test_names_of_all_locations_corroborate(spark, large):
     assert [tuple(r) for r in queries.by_entity_type(spark, SF).collect()] == [("Hospital", 1, 1, 1.0)]
 
 
+@pytest.fixture()
+def sought(spark, large):
+    """The record is found by its own name, and only its last location agrees with the entity in its street."""
+    large.__dict__["retrieved"] = spark.createDataFrame([(7, 1, 60.0)], "entity_id long, ref_id long, stage_a double")
+    return large
+
+
+def test_lines_and_names_of_all_locations_are_proposed(spark, sought):
+    (row,) = queries.estate_coverage(spark, SF).collect()
+    assert (row.linked, row.unlinked, row.strong) == (1, 1, 1)
+
+
+def test_barred_names_go_from_every_piece(spark, monkeypatch):
+    monkeypatch.setattr(directory, "PIECE", 2)
+    rows = spark.createDataFrame([(i % 2, f"Name {j}", f"{j} Oak Road", None, None, None, None) for i in (0, 1) for j in range(5)], PLACE)
+    barred = spark.createDataFrame([(0, "Name 1"), (0, "Name 4")], "ref_id long, name string")
+    found = directory.location_pieces(rows.withColumn("ord", F.lit(0)), barred=barred).orderBy("ref_id", "piece").collect()
+    lines = [f"{j} Oak Road" for j in range(5)]
+    assert [r.loc_addrs for r in found] == [lines[:2], lines[2:4], lines[4:]] * 2
+    assert [r.loc_names for r in found] == [["Name 0"], ["Name 2", "Name 3"], [], ["Name 0", "Name 1"], ["Name 2", "Name 3"], ["Name 4"]]
+    assert [r.loc_n for r in found] == [5, None, None] * 2
+
+
 def test_pieces_of_a_record_score_as_one(spark, monkeypatch):
     r = proxies.relations(spark, SF)
     a = Audit(r, queries.POPULATIONS, [("Hospital", r["identity"])], [r["location"]])
