@@ -46,6 +46,10 @@ def test_lines_and_names_of_all_locations_are_proposed(spark, sought):
     assert (row.linked, row.unlinked, row.strong) == (1, 1, 1)
 
 
+def test_flags_rest_on_all_locations(spark, sought):
+    assert {r.flag: r.n for r in queries.load_flags(spark, SF).collect()} == {"already_linked": 1, "shared_id": 0, "via_location": 1, "status_note": 0}
+
+
 def test_barred_names_go_from_every_piece(spark, monkeypatch):
     monkeypatch.setattr(directory, "PIECE", 2)
     rows = spark.createDataFrame([(i % 2, f"Name {j}", f"{j} Oak Road", None, None, None, None) for i in (0, 1) for j in range(5)], PLACE)
